@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every input of the workload is a bounded batch table; it has no stream
+source, watermark, event-time window or stateful operator, so none is
+built here.  The batch operators are plain DataFrame transforms and can be
+applied to a ``readStream`` DataFrame by a caller where Spark allows it.
+"""
