@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelstat.functions import hash_bucket_sql
 from reelstat.operators import clean, recommend, similarity, stats
 from reelstat.plans import warehouse_sql
 from reelstat.sources import testdata
@@ -121,12 +122,15 @@ movies AS (
          split_part(genres, '|', 1) AS main_genre
   FROM raw_movies),
 split AS (
-  SELECT *, CAST('0x' || substr(md5(concat_ws(':', userId, movieId, 42)), 1, 8) AS BIGINT) % 10000 < 8000
-            AS train
-  FROM ratings)
+  SELECT *, {split_bucket} < {split_cut} AS train FROM ratings)
 """
 
 
+PRELUDE = PRELUDE.replace(
+    "{split_bucket}", hash_bucket_sql(["userId", "movieId"], SPLIT_SEED, recommend.SPLIT_BUCKETS)).replace(
+    "{split_cut}", str(int(round(TRAIN_FRACTION * recommend.SPLIT_BUCKETS))))
+
+
 def R(x: str, scale: int = 2) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(20,8)), {scale}) AS DOUBLE)"
 
