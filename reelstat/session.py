@@ -45,7 +45,7 @@ def build_session(master: str | None = None, app: str = "reelstat",
     spark = builder.getOrCreate()
     # getOrCreate may hand back a running session: apply SQL confs anyway.
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
