@@ -151,11 +151,21 @@ def _first_ids(factors: DataFrame, n: int, name: str) -> DataFrame:
     return factors.select(F.col("id").alias(name)).orderBy(name).limit(n)
 
 
+def _ranked(recs: DataFrame, key: str, other: str) -> DataFrame:
+    """key, rank, other, rating from a recommendations array (already best first)."""
+    return (recs.select(key, F.posexplode("recommendations").alias("pos", "rec"))
+                .select(key, (F.col("pos") + 1).alias("rank"), F.col("rec." + other).alias(other),
+                        F.col("rec.rating").alias("rating")))
+
+
 def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None) -> DataFrame:
-    """userId, movieId, title, predictedRating - top-k movies per user.
+    """userId, rank, movieId, title, predictedRating - top-k movies per user.
 
     ``users``: None for every user, an int n for the n lowest user ids, or a
-    DataFrame with ``userId``.  Subsets are scored alone, not cut from all.
+    DataFrame with ``userId``.  Subsets are scored alone, not cut from all,
+    and come sorted (user, rank); the all-users result is not globally sorted
+    (``rank`` carries the order) - a total sort of users x k rows would only
+    add a range shuffle.
     """
     if users is None:
         recs = model.recommendForAllUsers(k)
@@ -163,31 +173,32 @@ def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None) -> Dat
         if isinstance(users, int):
             users = _first_ids(model.userFactors, users, "userId")
         recs = model.recommendForUserSubset(users, k)
-    flat = recs.select("userId", F.inline("recommendations"))
-    return (flat.join(movies.select("movieId", "title"), "movieId")
-                .select("userId", "movieId", "title",
-                        round_half_up("rating", 2).alias("predictedRating"))
-                .orderBy(F.asc("userId"), F.desc("predictedRating"), F.asc("movieId")))
+    out = (_ranked(recs, "userId", "movieId")
+           .join(movies.select("movieId", "title"), "movieId")
+           .select("userId", "rank", "movieId", "title",
+                   round_half_up("rating", 2).alias("predictedRating")))
+    return out if users is None else out.orderBy("userId", "rank")
 
 
 def item_users(model: ALSModel, k: int = 5, items=None) -> DataFrame:
-    """movieId, userId, predictedRating - the k users predicted to rate each movie highest."""
+    """movieId, rank, userId, predictedRating - the k users predicted to rate each movie highest."""
     if items is None:
         recs = model.recommendForAllItems(k)
     else:
         if isinstance(items, int):
             items = _first_ids(model.itemFactors, items, "movieId")
         recs = model.recommendForItemSubset(items, k)
-    return (recs.select("movieId", F.inline("recommendations"))
-                .select("movieId", "userId", round_half_up("rating", 2).alias("predictedRating"))
-                .orderBy(F.asc("movieId"), F.desc("predictedRating"), F.asc("userId")))
+    out = (_ranked(recs, "movieId", "userId")
+           .select("movieId", "rank", "userId", round_half_up("rating", 2).alias("predictedRating")))
+    return out if items is None else out.orderBy("movieId", "rank")
 
 
 def similar_items(model: ALSModel, movies: DataFrame, k: int = 5, items=None,
                   block_rows: int = 8192) -> DataFrame:
-    """origMovieId, origTitle, similarMovieId, similarTitle, similarityScore.
+    """origMovieId, origTitle, rank, similarMovieId, similarTitle, similarityScore.
 
-    Cosine of the learned item factors, self excluded, top k per movie.
+    Cosine of the learned item factors, self excluded, top k per movie
+    (ties to the lower id).  Subsets come sorted by (origTitle, rank).
     """
     queries = None
     if isinstance(items, int):
@@ -196,10 +207,9 @@ def similar_items(model: ALSModel, movies: DataFrame, k: int = 5, items=None,
         queries = items.select(F.col(items.columns[0]).alias("id"))
     top = cosine_top_k(model.itemFactors, k, queries=queries, block_rows=block_rows)
     titles = movies.select("movieId", "title")
-    return (top.join(titles.select(F.col("movieId").cast("long").alias("i"), F.col("title").alias("origTitle")), "i")
-               .join(titles.select(F.col("movieId").cast("long").alias("j"), F.col("title").alias("similarTitle")), "j")
-               .select(F.col("i").cast("int").alias("origMovieId"), "origTitle",
-                       F.col("j").cast("int").alias("similarMovieId"), "similarTitle",
-                       round_half_up("score", 2).alias("similarityScore"))
-               .orderBy(F.asc("origTitle"), F.asc("origMovieId"), F.desc("similarityScore"),
-                        F.asc("similarMovieId")))
+    out = (top.join(titles.select(F.col("movieId").cast("long").alias("i"), F.col("title").alias("origTitle")), "i")
+              .join(titles.select(F.col("movieId").cast("long").alias("j"), F.col("title").alias("similarTitle")), "j")
+              .select(F.col("i").cast("int").alias("origMovieId"), "origTitle", "rank",
+                      F.col("j").cast("int").alias("similarMovieId"), "similarTitle",
+                      round_half_up("score", 2).alias("similarityScore")))
+    return out if items is None else out.orderBy("origTitle", "origMovieId", "rank")

@@ -197,13 +197,26 @@ def active_users(ratings: DataFrame, n: int = 10) -> DataFrame:
 
 # ---------------------------------------------------------------- totals
 
+def _n_distinct(df: DataFrame, col: str, name: str, approximate: bool) -> DataFrame:
+    """One row: the number of distinct values of ``col``.
+
+    Exact: a de-duplicating aggregate (partial per map task, so each task
+    ships each key once) then a count.  Kept apart from the other totals: a
+    single ``agg`` with two distinct counts makes Spark expand every input
+    row once per distinct column.  ``approximate`` uses HyperLogLog++.
+    """
+    if approximate:
+        return df.agg(F.approx_count_distinct(col).alias(name))
+    return df.select(col).distinct().agg(F.count(F.lit(1)).alias(name))
+
+
 def overall_summary(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """total_ratings, total_movies, total_users, avg_rating - one row."""
-    r = ratings.agg(F.count(F.lit(1)).alias("total_ratings"),
-                    F.countDistinct("userId").alias("total_users"),
-                    F.sum("rating").alias("s"), F.count("rating").alias("c"))
-    m = movies.agg(F.count(F.lit(1)).alias("total_movies"))
-    t = _sum_scalars([r, m], ["total_ratings", "total_movies", "total_users", "s", "c"])
+    parts = [ratings.agg(F.count(F.lit(1)).alias("total_ratings"),
+                         F.sum("rating").alias("s"), F.count("rating").alias("c")),
+             _n_distinct(ratings, "userId", "total_users", False),
+             movies.agg(F.count(F.lit(1)).alias("total_movies"))]
+    t = _sum_scalars(parts, ["total_ratings", "total_movies", "total_users", "s", "c"])
     return t.select("total_ratings", "total_movies", "total_users",
                     round_half_up(F.col("s") / F.col("c"), 2).alias("avg_rating"))
 
@@ -215,12 +228,11 @@ def dataset_summary(ratings: DataFrame, movies: DataFrame, approximate: bool = F
     counts distinct users and movies with HyperLogLog++ (one pass, no
     shuffle of keys) for very large inputs.
     """
-    distinct = F.approx_count_distinct if approximate else F.countDistinct
-    r = ratings.agg(F.count(F.lit(1)).alias("n_ratings"),
-                    distinct("userId").alias("n_users"),
-                    distinct("movieId").alias("n_rated"))
-    m = movies.agg(F.count(F.lit(1)).alias("n_movies"))
-    t = _sum_scalars([r, m], ["n_ratings", "n_movies", "n_users", "n_rated"])
+    parts = [ratings.agg(F.count(F.lit(1)).alias("n_ratings")),
+             _n_distinct(ratings, "userId", "n_users", approximate),
+             _n_distinct(ratings, "movieId", "n_rated", approximate),
+             movies.agg(F.count(F.lit(1)).alias("n_movies"))]
+    t = _sum_scalars(parts, ["n_ratings", "n_movies", "n_users", "n_rated"])
     dens = F.try_divide(F.col("n_ratings").cast("double") * F.lit(100.0),
                         F.col("n_users").cast("double") * F.col("n_rated"))
     return t.select("n_ratings", "n_movies", "n_users", "n_rated",

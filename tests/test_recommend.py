@@ -87,15 +87,16 @@ def test_refit_is_repeatable_and_reload_identical(spark, planted, tmp_dir, model
 def test_recommendation_outputs(spark, model_and_split):
     model, _, _ = model_and_split
     movies = spark.createDataFrame([(i, f"m{i}", "", "G", "G") for i in range(150)], schemas.MOVIES_CLEAN)
-    recs = recommend.user_recs(model, movies, k=5).collect()
+    recs = sorted(recommend.user_recs(model, movies, k=5).collect(), key=lambda r: (r.userId, r.rank))
     per_user = {}
     for r in recs:
         per_user.setdefault(r.userId, []).append(r.predictedRating)
     assert len(per_user) == 200 and all(len(v) == 5 for v in per_user.values())
     assert all(v == sorted(v, reverse=True) for v in per_user.values())
-    sub = recommend.user_recs(model, movies, k=5, users=10).collect()
+    sub = recommend.user_recs(model, movies, k=5, users=10).collect()   # sorted (user, rank)
     assert sorted({r.userId for r in sub}) == list(range(10))
-    assert [(r.userId, r.movieId) for r in sub] == [(r.userId, r.movieId) for r in recs if r.userId < 10]
+    assert [(r.userId, r.rank, r.movieId) for r in sub] == [
+        (r.userId, r.rank, r.movieId) for r in recs if r.userId < 10]
     iu = recommend.item_users(model, k=3, items=5).collect()
     assert len(iu) == 15 and sorted({r.movieId for r in iu}) == list(range(5))
     sim = recommend.similar_items(model, movies, k=5).collect()
