@@ -57,9 +57,12 @@ def cold_start_summary(train: DataFrame, test: DataFrame) -> DataFrame:
     """
     tu = train.select("userId").distinct().withColumn("_u", F.lit(True))
     ti = train.select("movieId").distinct().withColumn("_i", F.lit(True))
-    t = test.select("userId", "movieId").join(tu, "userId", "left").join(ti, "movieId", "left")
+    # repeat ratings of a pair collapse (map-side) before the joins
+    pairs = test.groupBy("userId", "movieId").agg(F.count(F.lit(1)).alias("_n"))
+    t = pairs.join(tu, "userId", "left").join(ti, "movieId", "left")
     seen = F.col("_u").isNotNull() & F.col("_i").isNotNull()
-    return (t.agg(F.count(F.lit(1)).alias("test_rows"), F.count_if(seen).alias("kept"))
+    return (t.agg(F.sum("_n").alias("test_rows"),
+                  F.sum(F.when(seen, F.col("_n")).otherwise(F.lit(0))).alias("kept"))
              .withColumn("dropped", F.col("test_rows") - F.col("kept")))
 
 
