@@ -10,6 +10,7 @@ ratings each (with the defaults several results would be empty).
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from reelstat.functions import hash_bucket_sql
 from reelstat.operators import clean, recommend, similarity, stats
 from reelstat.plans import warehouse_sql
 from reelstat.session import shared_dir
-from reelstat.sources import schemas, testdata, write_table
+from reelstat.sources import materialize, schemas, testdata, write_table
 
 # Arguments used on the test tables (data-set defaults in brackets).
 TOP_RATED_MIN = 30          # [50]
@@ -28,6 +29,7 @@ HIGH_SCORE_AVG = 3.0        # [4.0]
 STATS_TOP_MIN = 30          # [100]
 TOP_K = 5                   # recommendations / neighbours per entity
 SPLIT_SEED, TRAIN_FRACTION = 42, 0.8
+GRID_REG_PARAMS = (0.01, 0.1, 1.0)   # the values compared by hand in the data set's study
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,7 +87,11 @@ def _sql(name: str, **params) -> Query:
         r, m = _rm(spark, sf_dir)
         warehouse_sql.register_views(r, m)
         if name == "movie_stats_top":
-            warehouse_sql.run(spark, "movie_stats").createOrReplaceTempView("movie_stats")
+            # CTAS into the shared folder, then the read-back scans that table
+            table = "movie_stats_" + re.sub(r"\W", "_", os.path.basename(sf_dir.rstrip("/")))
+            materialize(warehouse_sql.run(spark, "movie_stats"), table, mode="overwrite",
+                        path=shared_dir(spark, "tables/" + table))
+            return warehouse_sql.run(spark, name, table=table, **params)
         return warehouse_sql.run(spark, name, **params)
     return q
 
@@ -133,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "user_recs": lambda s, d: recommend.user_recs(_fitted(s, d)[0], _m(s, d), TOP_K),
     "item_users": lambda s, d: recommend.item_users(_fitted(s, d)[0], TOP_K),
     "similar_items": lambda s, d: recommend.similar_items(_fitted(s, d)[0], _m(s, d), TOP_K),
+    "als_grid": lambda s, d: recommend.als_grid(*_fitted(s, d)[1:], reg_params=GRID_REG_PARAMS),
 }
 
 # ----------------------------------------------------------------------------- oracle (DuckDB)

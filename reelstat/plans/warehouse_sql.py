@@ -69,7 +69,7 @@ SELECT m.movieId, m.title, m.main_genre, pm.n AS rating_cnt,
 FROM pm JOIN movies_ext m ON pm.movieId = m.movieId""",
 
     "movie_stats_top": """
-SELECT * FROM movie_stats WHERE rating_cnt >= {min_count} ORDER BY avg_rating DESC, movieId LIMIT {n}""",
+SELECT * FROM {table} WHERE rating_cnt >= {min_count} ORDER BY avg_rating DESC, movieId LIMIT {n}""",
 }
 
 DEFAULTS = {
@@ -77,7 +77,7 @@ DEFAULTS = {
     "year_production": {"n": 20},
     "high_score": {"min_count": 100, "min_avg": 4.0},
     "active_users": {"n": 10},
-    "movie_stats_top": {"min_count": 100, "n": 10},
+    "movie_stats_top": {"min_count": 100, "n": 10, "table": "movie_stats"},
 }
 
 
@@ -95,7 +95,7 @@ def register_views(ratings: DataFrame, movies: DataFrame) -> None:
 def run(spark: SparkSession, name: str, **params) -> DataFrame:
     """Run one warehouse statement against the current ``*_ext`` tables.
 
-    ``movie_stats_top`` reads the table or view named ``movie_stats``
-    (``materialize`` it first, or register a view).
+    ``movie_stats_top`` reads the table named by ``table`` (default
+    ``movie_stats``; ``materialize`` it first).
     """
     return spark.sql(statement(name, **params))

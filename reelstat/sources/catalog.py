@@ -33,14 +33,18 @@ def register_external(spark: SparkSession, name: str, path: str, schema: StructT
 
 
 def materialize(df: DataFrame, name: str, mode: str = "ignore", fmt: str = "parquet",
-                bucket_by: tuple[int, str] | None = None, sort_by: str | None = None) -> DataFrame:
-    """Save an aggregate as a managed table and return a scan of it.
+                bucket_by: tuple[int, str] | None = None, sort_by: str | None = None,
+                path: str | None = None) -> DataFrame:
+    """Save an aggregate as a catalog table and return a scan of it.
 
     ``mode='ignore'`` keeps an existing table (CREATE TABLE IF NOT EXISTS);
     ``'overwrite'`` refreshes it.  ``bucket_by=(n, col)`` stores it bucketed so
-    later joins and aggregations on ``col`` need no shuffle.
+    later joins and aggregations on ``col`` need no shuffle.  ``path`` puts
+    the files in a chosen (shared) folder instead of the warehouse folder.
     """
     w = df.write.mode(mode).format(fmt)
+    if path:
+        w = w.option("path", path)
     if bucket_by:
         w = w.bucketBy(bucket_by[0], bucket_by[1])
         if sort_by:
