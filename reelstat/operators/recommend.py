@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions import hash_bucket, round_half_up
-from reelstat.operators.similarity import cosine_top_k
+from reelstat.operators.similarity import cosine_top_k, dot_top_k
 from reelstat.session import ensure_checkpoint_dir
 
 SPLIT_BUCKETS = 10000
@@ -154,45 +154,39 @@ def _first_ids(factors: DataFrame, n: int, name: str) -> DataFrame:
     return factors.select(F.col("id").alias(name)).orderBy(name).limit(n)
 
 
-def _ranked(recs: DataFrame, key: str, other: str) -> DataFrame:
-    """key, rank, other, rating from a recommendations array (already best first)."""
-    return (recs.select(key, F.posexplode("recommendations").alias("pos", "rec"))
-                .select(key, (F.col("pos") + 1).alias("rank"), F.col("rec." + other).alias(other),
-                        F.col("rec.rating").alias("rating")))
+def _subset(factors: DataFrame, which, name: str) -> DataFrame:
+    """Factor rows of the chosen ids: all (None), the n lowest ids (int), or a DataFrame."""
+    if which is None:
+        return factors
+    ids = _first_ids(factors, which, "id") if isinstance(which, int) else \
+        which.select(F.col(name).alias("id"))
+    return factors.join(ids.distinct(), "id", "left_semi")
 
 
-def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None) -> DataFrame:
+def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
+              block_rows: int = 8192) -> DataFrame:
     """userId, rank, movieId, title, predictedRating - top-k movies per user.
 
-    ``users``: None for every user, an int n for the n lowest user ids, or a
-    DataFrame with ``userId``.  Subsets are scored alone, not cut from all,
-    and come sorted (user, rank); the all-users result is not globally sorted
-    (``rank`` carries the order) - a total sort of users x k rows would only
-    add a range shuffle.
+    Score = dot product of the user's and the movie's factors (the ALS
+    prediction), computed by the blocked top-k operator.  ``users``: None
+    for every user, an int n for the n lowest user ids, or a DataFrame with
+    ``userId``; subsets are scored alone and come sorted (user, rank).  The
+    all-users result is not globally sorted (``rank`` carries the order).
     """
-    if users is None:
-        recs = model.recommendForAllUsers(k)
-    else:
-        if isinstance(users, int):
-            users = _first_ids(model.userFactors, users, "userId")
-        recs = model.recommendForUserSubset(users, k)
-    out = (_ranked(recs, "userId", "movieId")
-           .join(movies.select("movieId", "title"), "movieId")
-           .select("userId", "rank", "movieId", "title",
-                   round_half_up("rating", 2).alias("predictedRating")))
+    top = dot_top_k(_subset(model.userFactors, users, "userId"), model.itemFactors, k,
+                    block_rows=block_rows)
+    out = (top.join(movies.select(F.col("movieId").cast("long").alias("j"), "title"), "j")
+              .select(F.col("i").cast("int").alias("userId"), "rank", F.col("j").cast("int").alias("movieId"),
+                      "title", round_half_up("score", 2).alias("predictedRating")))
     return out if users is None else out.orderBy("userId", "rank")
 
 
-def item_users(model: ALSModel, k: int = 5, items=None) -> DataFrame:
+def item_users(model: ALSModel, k: int = 5, items=None, block_rows: int = 8192) -> DataFrame:
     """movieId, rank, userId, predictedRating - the k users predicted to rate each movie highest."""
-    if items is None:
-        recs = model.recommendForAllItems(k)
-    else:
-        if isinstance(items, int):
-            items = _first_ids(model.itemFactors, items, "movieId")
-        recs = model.recommendForItemSubset(items, k)
-    out = (_ranked(recs, "movieId", "userId")
-           .select("movieId", "rank", "userId", round_half_up("rating", 2).alias("predictedRating")))
+    top = dot_top_k(_subset(model.itemFactors, items, "movieId"), model.userFactors, k,
+                    block_rows=block_rows)
+    out = top.select(F.col("i").cast("int").alias("movieId"), "rank", F.col("j").cast("int").alias("userId"),
+                     round_half_up("score", 2).alias("predictedRating"))
     return out if items is None else out.orderBy("movieId", "rank")
 
 
@@ -204,10 +198,8 @@ def similar_items(model: ALSModel, movies: DataFrame, k: int = 5, items=None,
     (ties to the lower id).  Subsets come sorted by (origTitle, rank).
     """
     queries = None
-    if isinstance(items, int):
-        queries = _first_ids(model.itemFactors, items, "id")
-    elif items is not None:
-        queries = items.select(F.col(items.columns[0]).alias("id"))
+    if items is not None:
+        queries = _subset(model.itemFactors, items, "movieId").select("id")
     top = cosine_top_k(model.itemFactors, k, queries=queries, block_rows=block_rows)
     titles = movies.select("movieId", "title")
     out = (top.join(titles.select(F.col("movieId").cast("long").alias("i"), F.col("title").alias("origTitle")), "i")
