@@ -168,13 +168,13 @@ def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
     """userId, rank, movieId, title, predictedRating - top-k movies per user.
 
     Score = dot product of the user's and the movie's factors (the ALS
-    prediction), computed by the blocked top-k operator.  ``users``: None
+    prediction, in float32 like the factors), by the blocked top-k operator.  ``users``: None
     for every user, an int n for the n lowest user ids, or a DataFrame with
     ``userId``; subsets are scored alone and come sorted (user, rank).  The
     all-users result is not globally sorted (``rank`` carries the order).
     """
     top = dot_top_k(_subset(model.userFactors, users, "userId"), model.itemFactors, k,
-                    block_rows=block_rows)
+                    block_rows=block_rows, precise=False)
     out = (top.join(movies.select(F.col("movieId").cast("long").alias("j"), "title"), "j")
               .select(F.col("i").cast("int").alias("userId"), "rank", F.col("j").cast("int").alias("movieId"),
                       "title", round_half_up("score", 2).alias("predictedRating")))
@@ -184,7 +184,7 @@ def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
 def item_users(model: ALSModel, k: int = 5, items=None, block_rows: int = 8192) -> DataFrame:
     """movieId, rank, userId, predictedRating - the k users predicted to rate each movie highest."""
     top = dot_top_k(_subset(model.itemFactors, items, "movieId"), model.userFactors, k,
-                    block_rows=block_rows)
+                    block_rows=block_rows, precise=False)
     out = top.select(F.col("i").cast("int").alias("movieId"), "rank", F.col("j").cast("int").alias("userId"),
                      round_half_up("score", 2).alias("predictedRating"))
     return out if items is None else out.orderBy("movieId", "rank")
