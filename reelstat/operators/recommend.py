@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions import hash_bucket, round_half_up
-from reelstat.operators.similarity import cosine_top_k, dot_top_k
+from reelstat.operators.similarity import BLOCK_ROWS, cosine_top_k, dot_top_k
 from reelstat.session import ensure_checkpoint_dir
 
 SPLIT_BUCKETS = 10000
@@ -94,11 +94,12 @@ def fit_als(train: DataFrame, rank: int = 20, max_iter: int = 10, reg_param: flo
     parts = layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     data = (to_als_input(train).repartition(parts, "userId", "movieId")
             .sortWithinPartitions("userId", "movieId", "rating"))
+    # ALS's own default of 10 blocks, or one block per core on larger clusters
+    blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, nonnegative=nonnegative,
               userCol="userId", itemCol="movieId", ratingCol="rating",
-              coldStartStrategy=cold_start, seed=seed, checkpointInterval=checkpoint_interval)
-    if num_blocks:
-        als = als.setNumUserBlocks(num_blocks).setNumItemBlocks(num_blocks)
+              coldStartStrategy=cold_start, seed=seed, checkpointInterval=checkpoint_interval,
+              numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(data)
 
 
@@ -164,7 +165,7 @@ def _subset(factors: DataFrame, which, name: str) -> DataFrame:
 
 
 def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
-              block_rows: int = 8192) -> DataFrame:
+              block_rows: int = BLOCK_ROWS) -> DataFrame:
     """userId, rank, movieId, title, predictedRating - top-k movies per user.
 
     Score = dot product of the user's and the movie's factors (the ALS
@@ -181,7 +182,7 @@ def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
     return out if users is None else out.orderBy("userId", "rank")
 
 
-def item_users(model: ALSModel, k: int = 5, items=None, block_rows: int = 8192) -> DataFrame:
+def item_users(model: ALSModel, k: int = 5, items=None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """movieId, rank, userId, predictedRating - the k users predicted to rate each movie highest."""
     top = dot_top_k(_subset(model.itemFactors, items, "movieId"), model.userFactors, k,
                     block_rows=block_rows, precise=False)
@@ -191,7 +192,7 @@ def item_users(model: ALSModel, k: int = 5, items=None, block_rows: int = 8192)
 
 
 def similar_items(model: ALSModel, movies: DataFrame, k: int = 5, items=None,
-                  block_rows: int = 8192) -> DataFrame:
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
     """origMovieId, origTitle, rank, similarMovieId, similarTitle, similarityScore.
 
     Cosine of the learned item factors, self excluded, top k per movie

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Cleaned inputs, written once per (application, data folder) - the data
 # set's own flow: clean once, write, then every analysis reads the result.
 _INPUTS: dict = {}
+_LOCK = threading.RLock()      # one ingest / one fit even if queries run in threads
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -47,17 +49,22 @@ def ingest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     executor re-reads files instead of recomputing the adapter join.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _INPUTS:
-        base = shared_dir(spark, "inputs/" + os.path.basename(sf_dir.rstrip("/")))
-        paths = {"ratings": f"{base}/ratings", "movies": f"{base}/movies"}
-        write_table(testdata.ratings(spark, sf_dir), paths["ratings"])
-        write_table(testdata.movies(spark, sf_dir), paths["movies"])
-        _INPUTS[key] = paths
+    with _LOCK:
+        if key not in _INPUTS:
+            _write_inputs(spark, sf_dir, key)
     paths = _INPUTS[key]
     return (spark.read.schema(schemas.RATINGS_CLEAN).parquet(paths["ratings"]),
             spark.read.schema(schemas.MOVIES_CLEAN).parquet(paths["movies"]))
 
 
+def _write_inputs(spark: SparkSession, sf_dir: str, key) -> None:
+    base = shared_dir(spark, "inputs/" + os.path.basename(sf_dir.rstrip("/")))
+    paths = {"ratings": f"{base}/ratings", "movies": f"{base}/movies"}
+    write_table(testdata.ratings(spark, sf_dir), paths["ratings"])
+    write_table(testdata.movies(spark, sf_dir), paths["movies"])
+    _INPUTS[key] = paths
+
+
 def _rm(spark, sf_dir):
     return ingest(spark, sf_dir)
 
@@ -76,12 +83,17 @@ _MODELS: dict = {}
 
 def _fitted(spark: SparkSession, sf_dir: str):
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        train, test = recommend.split_ratings(_r(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
-        _MODELS[key] = (recommend.fit_als(train), train, test)
+    with _LOCK:
+        if key not in _MODELS:
+            _fit(spark, sf_dir, key)
     return _MODELS[key]
 
 
+def _fit(spark: SparkSession, sf_dir: str, key) -> None:
+    train, test = recommend.split_ratings(_r(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    _MODELS[key] = (recommend.fit_als(train), train, test)
+
+
 def _sql(name: str, **params) -> Query:
     def q(spark, sf_dir):
         r, m = _rm(spark, sf_dir)
