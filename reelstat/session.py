@@ -66,7 +66,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="reelstat-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(a machine-local folder does not survive executor loss)")
+        path = tempfile.mkdtemp(prefix="reelstat-ckpt-")   # local mode (tests) only
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return path
