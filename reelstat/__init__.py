@@ -8,10 +8,14 @@ Sub-packages
 sources    schemas, file sources/sinks, catalog tables, test-table adapter
 functions  column expressions (dates, titles, genres, rounding, hashing)
 operators  cleaning, statistics, warehouse aggregates, recommendation, similarity
-plans      the registered queries, their SQL oracles, the SQL (warehouse) route
+plans      the registered queries, their SQL oracles, the SQL (warehouse) route, jobs
 streaming  nothing: the workload is batch only (see module docstring)
 """
 
-from reelstat.session import build_session, ensure_checkpoint_dir
 
-__all__ = ["build_session", "ensure_checkpoint_dir"]
+def __getattr__(name):
+    # lazy, so Python workers that unpickle a kernel do not import Spark modules
+    if name in ("build_session", "ensure_checkpoint_dir"):
+        from reelstat import session
+        return getattr(session, name)
+    raise AttributeError(name)

@@ -1,5 +1,6 @@
-"""DataFrame-in, DataFrame-out operators."""
+"""DataFrame-in, DataFrame-out operators.
 
-from reelstat.operators import clean, recommend, similarity, stats
-
-__all__ = ["clean", "recommend", "similarity", "stats"]
+Submodules: ``clean``, ``stats``, ``recommend``, ``similarity`` (and the
+NumPy kernel ``topk_kernel`` that Python workers load).  Nothing is imported
+eagerly, so a worker unpickling the kernel does not load Spark ML.
+"""
