@@ -169,10 +169,12 @@ def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
     """userId, rank, movieId, title, predictedRating - top-k movies per user.
 
     Score = dot product of the user's and the movie's factors (the ALS
-    prediction, in float32 like the factors), by the blocked top-k operator.  ``users``: None
-    for every user, an int n for the n lowest user ids, or a DataFrame with
-    ``userId``; subsets are scored alone and come sorted (user, rank).  The
-    all-users result is not globally sorted (``rank`` carries the order).
+    prediction, in float32 like the factors), by the blocked top-k operator.
+    ``users``: None for every user, an int n for the n lowest user ids, or a
+    DataFrame with ``userId``; subsets are scored alone and come sorted
+    (user, rank).  The all-users result is not globally sorted (``rank``
+    carries the order); movies missing from the catalogue drop out (inner
+    join for the title).
     """
     top = dot_top_k(_subset(model.userFactors, users, "userId"), model.itemFactors, k,
                     block_rows=block_rows, precise=False)
