@@ -50,3 +50,18 @@ def test_clean_analyze_recommend_warehouse(spark, tmp_dir):
     from reelstat.operators.recommend import split_ratings
     train_users = split_ratings(r)[0].select("userId").distinct().count()
     assert spark.read.parquet(rec["user_recs"]).count() == 5 * train_users
+
+
+def test_command_line_clean(spark, tmp_dir):
+    import subprocess
+    import sys
+    rp, mp, nr, nm = _raw_csvs(spark, tmp_dir)
+    out = os.path.join(tmp_dir, "cli")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+    res = subprocess.run([sys.executable, "-m", "reelstat", "clean", "--ratings", rp, "--movies", mp,
+                          "--out", out, "--format", "parquet"], env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert spark.read.parquet(os.path.join(out, "ratings_clean")).count() == nr
+    assert spark.read.parquet(os.path.join(out, "data_summary")).first().n_movies == nm
