@@ -65,8 +65,9 @@ def best(lid: np.ndarray, lmat: np.ndarray, rid: np.ndarray, rmat: np.ndarray, k
         order = np.lexsort((-vals, rows))               # stable: equal scores keep id order
         rows, cols, vals = rows[order], cols[order], vals[order]
         first = np.searchsorted(rows, rows, side="left")
-        keep = (np.arange(len(rows)) - first) < k
-        yield li[rows[keep]], rid[cols[keep]], vals[keep].astype(np.float64)
+        rank = np.arange(len(rows)) - first + 1
+        keep = rank <= k
+        yield li[rows[keep]], rid[cols[keep]], vals[keep].astype(np.float64), rank[keep]
 
 
 def pair_task(k: int, symmetric: bool, normalize: bool, exclude_self: bool, dtype):
@@ -86,8 +87,10 @@ def pair_task(k: int, symmetric: bool, normalize: bool, exclude_self: bool, dtyp
         parts = list(best(lid, lmat, rid, rmat, k, exclude_self))
         if symmetric and pa_ != pb_:
             parts += list(best(rid, rmat, lid, lmat, k, exclude_self))
-        cols = [np.concatenate(c) if parts else np.zeros(0, t)
-                for c, t in zip(zip(*parts) if parts else ([], [], []), (np.int64, np.int64, np.float64))]
+        types = (np.int64, np.int64, np.float64, np.int32)
+        cols = [np.concatenate(c).astype(t, copy=False) if parts else np.zeros(0, t)
+                for c, t in zip(zip(*parts) if parts else ([],) * 4, types)]
         return pa.table({"i": pa.array(cols[0], pa.int64()), "j": pa.array(cols[1], pa.int64()),
-                         "score": pa.array(cols[2], pa.float64())})
+                         "score": pa.array(cols[2], pa.float64()),
+                         "rank": pa.array(cols[3], pa.int32())})
     return run
