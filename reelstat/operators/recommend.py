@@ -211,3 +211,26 @@ def similar_items(model: ALSModel, movies: DataFrame, k: int = 5, items=None,
                       F.col("j").cast("int").alias("similarMovieId"), "similarTitle",
                       round_half_up("score", 2).alias("similarityScore")))
     return out if items is None else out.orderBy("origTitle", "origMovieId", "rank")
+
+
+# ---------------------------------------------------------------- nested form
+
+def recommendation_arrays(flat: DataFrame, key: str, other: str, score: str = "predictedRating") -> DataFrame:
+    """key, recommendations: array<struct<other:int, rating:float>> (best first).
+
+    The nested table shape of Spark ML's ``recommendForAll*``; each array
+    holds the k rows of one entity (bounded by k).
+    """
+    rec = F.struct(F.col(other).cast("int").alias(other), F.col(score).cast("float").alias("rating"))
+    ranked = F.array_sort(F.collect_list(F.struct(F.col("rank").alias("rank"), rec.alias("rec"))))
+    return (flat.groupBy(key)
+                .agg(ranked.alias("_r"))
+                .select(key, F.transform("_r", lambda x: x["rec"]).alias("recommendations")))
+
+
+def explode_recs(nested: DataFrame, key: str, other: str, score: str = "predictedRating") -> DataFrame:
+    """key, rank, other, score - one row per element of a recommendations array."""
+    return (nested.select(key, F.posexplode("recommendations").alias("pos", "rec"))
+                  .select(key, (F.col("pos") + 1).alias("rank"), F.col("rec." + other).alias(other),
+                          F.col("rec.rating").cast("double").alias(score)))
+

@@ -144,3 +144,16 @@ def test_blocked_recs_equal_spark_ml(spark, model_and_split):
             assert np.allclose([s for _, s in got[u]], [s for _, s in exp[u]], atol=0.006)
             same = [a == b for (a, _), (b, _) in zip(got[u], exp[u])]
             assert all(same) or np.ptp([s for _, s in exp[u]]) < 0.01
+
+
+def test_nested_recommendation_shape_round_trip(spark, model_and_split):
+    model, _, _ = model_and_split
+    flat = recommend.item_users(model, k=3)
+    nested = recommend.recommendation_arrays(flat, "movieId", "userId")
+    assert nested.schema["recommendations"].dataType.simpleString() == "array<struct<userId:int,rating:float>>"
+    back = recommend.explode_recs(nested, "movieId", "userId")
+    a = sorted((r.movieId, r.rank, r.userId) for r in flat.collect())
+    b = sorted((r.movieId, r.rank, r.userId) for r in back.collect())
+    assert a == b
+    ml = recommend.explode_recs(model.recommendForAllItems(3), "movieId", "userId")
+    assert ml.count() == flat.count()
