@@ -97,6 +97,10 @@ def _fit(spark: SparkSession, sf_dir: str, key) -> None:
 def _sql(name: str, **params) -> Query:
     def q(spark, sf_dir):
         r, m = _rm(spark, sf_dir)
+        with _LOCK:   # the views are session-wide; spark.sql binds them when it parses
+            return _run_sql(spark, sf_dir, r, m)
+
+    def _run_sql(spark, sf_dir, r, m):
         warehouse_sql.register_views(r, m)
         if name == "movie_stats_top":
             # CTAS into the shared folder, then the read-back scans that table
