@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from reelstat.operators import recommend
 from reelstat.sources import schemas, testdata

@@ -2,7 +2,6 @@
 
 from decimal import ROUND_HALF_UP, Decimal
 
-import pandas as pd
 import pytest
 
 from reelstat.operators import stats
