@@ -51,6 +51,26 @@ def analyses(ratings: DataFrame, movies: DataFrame, min_count: int = 50) -> dict
     }
 
 
+def chart_series(ratings: DataFrame, movies: DataFrame, model=None, train: DataFrame | None = None,
+                 test: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The series behind the five charts, in the order the charts draw them.
+
+    fig1 ratings per value (0.5 .. 5.0), fig2 the ten most rated movies,
+    fig3 genre shares within the top ten, fig4 the latest fifteen release
+    years oldest first, fig5 the model metrics (when a model is given).
+    Every series is a small bounded DataFrame; drawing is left to the caller.
+    """
+    out = {
+        "fig1_rating_distribution": stats.rating_distribution(ratings).orderBy("rating"),
+        "fig2_popular": stats.popular(ratings, movies),
+        "fig3_genre_share": stats.genre_share(movies),
+        "fig4_year_trend": stats.year_trend(ratings, movies).orderBy("year"),
+    }
+    if model is not None and train is not None and test is not None:
+        out["fig5_als_metrics"] = recommend.als_metrics(model, train, test)
+    return out
+
+
 BOUNDED = {"rating_distribution", "popular_movies", "top_rated_movies", "genre_distribution",
            "user_activity_stats", "year_ratings", "overall_summary"}
 

@@ -65,3 +65,13 @@ def test_command_line_clean(spark, tmp_dir):
     assert res.returncode == 0, res.stderr[-2000:]
     assert spark.read.parquet(os.path.join(out, "ratings_clean")).count() == nr
     assert spark.read.parquet(os.path.join(out, "data_summary")).first().n_movies == nm
+
+
+def test_chart_series(spark):
+    r, m = testdata.ratings(spark, SF), testdata.movies(spark, SF)
+    series = jobs.chart_series(r, m)
+    assert set(series) == {"fig1_rating_distribution", "fig2_popular", "fig3_genre_share", "fig4_year_trend"}
+    f1 = [x.rating for x in series["fig1_rating_distribution"].collect()]
+    assert f1 == sorted(f1) and len(f1) == 10
+    f4 = [x.year for x in series["fig4_year_trend"].collect()]
+    assert f4 == sorted(f4) and len(f4) == 15
