@@ -60,7 +60,11 @@ def ingest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def _write_inputs(spark: SparkSession, sf_dir: str, key) -> None:
     base = shared_dir(spark, "inputs/" + os.path.basename(sf_dir.rstrip("/")))
     paths = {"ratings": f"{base}/ratings", "movies": f"{base}/movies"}
-    write_table(testdata.ratings(spark, sf_dir), paths["ratings"])
+    # Spread the rows over one file per core (round-robin, deterministic under
+    # Spark's sort-before-repartition): the source may be a single row group,
+    # which would leave every later scan and partial aggregate to one task.
+    files = spark.sparkContext.defaultParallelism
+    write_table(testdata.ratings(spark, sf_dir).repartition(files), paths["ratings"])
     write_table(testdata.movies(spark, sf_dir), paths["movies"])
     _INPUTS[key] = paths
 
