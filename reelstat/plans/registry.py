@@ -156,6 +156,7 @@ QUERIES: dict[str, Query] = {
         *recommend.split_ratings(_r(s, d), TRAIN_FRACTION, SPLIT_SEED)),
     "similar_vectors": lambda s, d: similarity.similar_vectors(testdata.embeddings(s, d), TOP_K),
     "als_metrics": lambda s, d: recommend.als_metrics(*_fitted(s, d)),
+    "predictions": lambda s, d: recommend.predict(_fitted(s, d)[0], _fitted(s, d)[2]),
     "user_recs": lambda s, d: recommend.user_recs(_fitted(s, d)[0], _m(s, d), TOP_K),
     "item_users": lambda s, d: recommend.item_users(_fitted(s, d)[0], TOP_K),
     "similar_items": lambda s, d: recommend.similar_items(_fitted(s, d)[0], _m(s, d), TOP_K),
