@@ -124,3 +124,16 @@ def test_sql_route_equals_dataframe_route(spark, frames, name, kw, fn):
     b = fn(r, m)
     assert a.columns == b.columns
     assert a.collect() == b.collect() if name != "movie_stats" else sorted(a.collect()) == sorted(b.collect())
+
+
+def test_ties_break_on_entity_key(spark):
+    # five movies with identical counts and means, offered in scrambled id order
+    rows = [(u, mid, 4.0, "") for mid in (9, 3, 7, 1, 5) for u in range(3)]
+    r = spark.createDataFrame(rows, schemas.RATINGS_CLEAN).repartition(4)
+    m = spark.createDataFrame([(i, f"t{i}", "2000", "G", "G") for i in (1, 3, 5, 7, 9)], schemas.MOVIES_CLEAN)
+    assert [x.movieId for x in stats.popular(r, m, n=3).collect()] == [1, 3, 5]
+    assert [x.movieId for x in stats.top_rated(r, m, min_count=1, n=4).collect()] == [1, 3, 5, 7]
+    assert [x.movieId for x in stats.high_score(r, m, min_count=1, min_avg=1.0).collect()] == [1, 3, 5, 7, 9]
+    users = [(u, 1, 3.0, "") for u in (8, 2, 6, 4)]
+    a = stats.active_users(spark.createDataFrame(users, schemas.RATINGS_CLEAN), n=3).collect()
+    assert [x.userId for x in a] == [2, 4, 6]
