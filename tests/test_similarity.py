@@ -72,3 +72,10 @@ def test_similar_vectors_on_embeddings(spark):
     n = e.count()
     assert out.count() == 5 * n
     assert out.where(F.col("i") == F.col("j")).count() == 0
+
+
+def test_null_vectors_take_no_part(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, None), (4, [0.0, 1.0])],
+                               "id long, features array<float>")
+    got = collect(cosine_top_k(df, k=2))
+    assert set(got) == {1, 2, 4} and all(j != 3 for v in got.values() for j, _ in v)
