@@ -60,11 +60,16 @@ def ingest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def _write_inputs(spark: SparkSession, sf_dir: str, key) -> None:
     base = shared_dir(spark, "inputs/" + os.path.basename(sf_dir.rstrip("/")))
     paths = {"ratings": f"{base}/ratings", "movies": f"{base}/movies"}
-    # Spread the rows over one file per core (round-robin, deterministic under
-    # Spark's sort-before-repartition): the source may be a single row group,
-    # which would leave every later scan and partial aggregate to one task.
-    files = spark.sparkContext.defaultParallelism
-    write_table(testdata.ratings(spark, sf_dir).repartition(files), paths["ratings"])
+    ratings = testdata.ratings(spark, sf_dir)
+    # A source of fewer files than cores (here one file, one row group) would
+    # leave every later scan and partial aggregate to one task: spread such
+    # rows over one file per core (round-robin, deterministic under Spark's
+    # sort-before-repartition).  Many-file sources are written as they come,
+    # without an extra shuffle.
+    cores = spark.sparkContext.defaultParallelism
+    if len(testdata.table(spark, sf_dir, "lineitem").inputFiles()) < cores:
+        ratings = ratings.repartition(cores)
+    write_table(ratings, paths["ratings"])
     write_table(testdata.movies(spark, sf_dir), paths["movies"])
     _INPUTS[key] = paths
 
