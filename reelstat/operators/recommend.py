@@ -94,8 +94,9 @@ def fit_als(train: DataFrame, rank: int = 20, max_iter: int = 10, reg_param: flo
     parts = layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     data = (to_als_input(train).repartition(parts, "userId", "movieId")
             .sortWithinPartitions("userId", "movieId", "rating"))
-    # ALS's own default of 10 blocks, or one block per core on larger clusters
-    blocks = num_blocks or max(10, spark.sparkContext.defaultParallelism)
+    # one block per core: every half-iteration is one wave of tasks (blocking
+    # changes only the summation order of the normal equations)
+    blocks = num_blocks or max(1, spark.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, nonnegative=nonnegative,
               userCol="userId", itemCol="movieId", ratingCol="rating",
               coldStartStrategy=cold_start, seed=seed, checkpointInterval=checkpoint_interval,
