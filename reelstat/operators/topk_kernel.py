@@ -55,7 +55,7 @@ def best(lid: np.ndarray, lmat: np.ndarray, rid: np.ndarray, rmat: np.ndarray, k
             # The k-th best of a column sample is a lower bound of the row's
             # k-th best: every row keeps >= k candidates, ties included, and
             # only candidates are ranked.  (At most one cell per row is -inf.)
-            s_cols = min(m, SAMPLE_COLS)
+            s_cols = min(m, max(SAMPLE_COLS, 4 * k))       # > k, since m > k
             low = np.partition(sc[:, :s_cols], s_cols - k, axis=1)[:, s_cols - k]
             flat = np.flatnonzero(sc >= low[:, None])
         else:

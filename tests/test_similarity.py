@@ -79,3 +79,23 @@ def test_null_vectors_take_no_part(spark):
                                "id long, features array<float>")
     got = collect(cosine_top_k(df, k=2))
     assert set(got) == {1, 2, 4} and all(j != 3 for v in got.values() for j, _ in v)
+
+
+@pytest.mark.parametrize("k,m,self_ids", [(600, 1000, False), (5, 3000, True), (3, 4, True)])
+def test_kernel_against_brute_force(k, m, self_ids):
+    from reelstat.operators import topk_kernel as K
+    rng = np.random.default_rng(k + m)
+    lmat = rng.integers(0, 4, size=(50, 3)).astype(float)      # small integers: many exact ties
+    rmat = rng.integers(0, 4, size=(m, 3)).astype(float)
+    rid = rng.permutation(m).astype(np.int64) + 10
+    lid = rid[:50].copy() if self_ids else np.arange(50, dtype=np.int64) + 100_000
+    if self_ids:
+        lmat = rmat[:50]                                        # the first 50 rows query themselves
+    got = {}
+    for i, j, s, r in K.best(lid, lmat, rid, rmat, k, exclude_self=self_ids):
+        for a, b, c, d in zip(i, j, s, r):
+            got.setdefault(int(a), []).append((int(d), int(b), float(c)))
+    for a, li in enumerate(lid):
+        sc = lmat[a] @ rmat.T
+        cand = sorted((-sc[c], rid[c]) for c in range(m) if not (self_ids and rid[c] == li))[:k]
+        assert [(b, -ns) for ns, b in cand] == [(b, c) for _, b, c in sorted(got[int(li)])]
