@@ -43,3 +43,20 @@ def test_round_half_up(spark):
     df = spark.createDataFrame([(1.005,), (2.675,), (-1.005,), (3.14159,)], "x double")
     got = [r.r for r in df.select(round_half_up("x", 2).alias("r")).collect()]
     assert got == [1.01, 2.68, -1.01, 3.14]
+
+
+TITLE_CHARS = st.sampled_from(list("ab (),'\"-0123456789") + ["(1995)", "(20", "0)", " (2003-2004)"])
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(TITLE_CHARS, max_size=12).map("".join), min_size=1, max_size=100))
+def test_release_year_matches_first_four_digit_group(spark, titles):
+    import re
+    from reelstat.functions import main_genre, release_year
+    df = spark.createDataFrame([(i, t, t.replace(" ", "|")) for i, t in enumerate(titles)],
+                               "i int, title string, genres string")
+    got = df.select("i", release_year("title").alias("y"), main_genre("genres").alias("g")).collect()
+    for r in got:
+        m = re.search(r"\((\d{4})\)", titles[r.i], re.ASCII)
+        assert r.y == (m.group(1) if m else "")
+        assert r.g == titles[r.i].replace(" ", "|").split("|")[0]
