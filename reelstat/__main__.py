@@ -29,6 +29,12 @@ def main(argv=None) -> None:
         p.add_argument("--movies", required=True, help="cleaned movies directory")
         p.add_argument("--out", required=name != "warehouse")
         p.add_argument("--format", default="csv")
+        if name != "recommend":
+            p.add_argument("--min-count", type=int, default=None,
+                           help="rating-count threshold (defaults: 50 analyze, 100 warehouse)")
+        if name == "warehouse":
+            p.add_argument("--min-avg", type=float, default=4.0, help="mean threshold of high_score")
+            p.add_argument("--refresh", action="store_true", help="overwrite movie_stats if present")
     a = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"reelstat-{a.job}")
@@ -42,11 +48,13 @@ def main(argv=None) -> None:
     r = files.read_ratings_clean(spark, a.ratings, fmt=a.format)
     m = files.read_movies_clean(spark, a.movies, fmt=a.format)
     if a.job == "analyze":
-        print(jobs.analysis_job(spark, r, m, a.out, a.format))
+        print(jobs.analysis_job(spark, r, m, a.out, a.format, min_count=a.min_count or 50))
     elif a.job == "recommend":
         print(jobs.recommend_job(spark, r, m, a.out))
     else:
-        for name, df in jobs.warehouse_job(spark, a.ratings, a.movies, a.out, a.format).items():
+        results = jobs.warehouse_job(spark, a.ratings, a.movies, a.out, a.format, refresh=a.refresh,
+                                     min_count=a.min_count or 100, min_avg=a.min_avg)
+        for name, df in results.items():
             print(name)
             df.show(20, truncate=False)
 
