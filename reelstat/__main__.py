@@ -35,6 +35,7 @@ def main(argv=None) -> None:
         if name == "warehouse":
             p.add_argument("--min-avg", type=float, default=4.0, help="mean threshold of high_score")
             p.add_argument("--refresh", action="store_true", help="overwrite movie_stats if present")
+            p.add_argument("--table-dir", default="movie_stats", help="location of movie_stats")
     a = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"reelstat-{a.job}")
@@ -53,7 +54,8 @@ def main(argv=None) -> None:
         print(jobs.recommend_job(spark, r, m, a.out))
     else:
         results = jobs.warehouse_job(spark, a.ratings, a.movies, a.out, a.format, refresh=a.refresh,
-                                     min_count=a.min_count or 100, min_avg=a.min_avg)
+                                     table_dir=a.table_dir, min_count=a.min_count or 100,
+                                     min_avg=a.min_avg)
         for name, df in results.items():
             print(name)
             df.show(20, truncate=False)

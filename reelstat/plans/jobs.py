@@ -112,14 +112,20 @@ def recommend_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, ou
 
 
 def warehouse_job(spark: SparkSession, ratings_dir: str, movies_dir: str, out_dir: str | None = None,
-                  fmt: str = "csv", refresh: bool = False, **params) -> dict[str, DataFrame]:
+                  fmt: str = "csv", refresh: bool = False, table_dir: str | None = None,
+                  **params) -> dict[str, DataFrame]:
     """External tables over the cleaned files, the warehouse statements, and the
     materialised ``movie_stats`` with its read-back.  Returns the result
-    DataFrames (and writes them when ``out_dir`` is given)."""
+    DataFrames (and writes them when ``out_dir`` is given).
+
+    ``table_dir`` places ``movie_stats`` at a fixed location: without
+    ``refresh`` an existing table there is kept (CREATE TABLE IF NOT EXISTS,
+    also across sessions), with ``refresh`` it is rewritten.
+    """
     register_external(spark, "ratings_ext", ratings_dir, schemas.RATINGS_CLEAN, fmt=fmt)
     register_external(spark, "movies_ext", movies_dir, schemas.MOVIES_CLEAN, fmt=fmt)
     materialize(warehouse_sql.run(spark, "movie_stats"), "movie_stats",
-                mode="overwrite" if refresh else "ignore")
+                mode="overwrite" if refresh else "ignore", path=table_dir)
     names = ["rating_distribution_pct", "genre_avg", "year_production", "high_score",
              "active_users", "movie_stats_top"]
     results = {}

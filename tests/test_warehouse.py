@@ -59,3 +59,12 @@ def test_write_result_single_file(spark, tmp_dir):
     files.write_result(stats.rating_distribution(testdata.ratings(spark, SF)), out, single_file=True)
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_external_table_relative_location(spark, tmp_dir, monkeypatch):
+    r = testdata.ratings(spark, SF)
+    files.write_table(r, os.path.join(tmp_dir, "rel_ratings"), fmt="csv")
+    monkeypatch.chdir(tmp_dir)
+    t = register_external(spark, "ratings_rel", "rel_ratings", schemas.RATINGS_CLEAN, replace=True)
+    assert t.count() == r.count()
+    spark.sql("DROP TABLE ratings_rel")
