@@ -65,6 +65,15 @@ def test_command_line_clean(spark, tmp_dir):
     assert res.returncode == 0, res.stderr[-2000:]
     assert spark.read.parquet(os.path.join(out, "ratings_clean")).count() == nr
     assert spark.read.parquet(os.path.join(out, "data_summary")).first().n_movies == nm
+    # warehouse job twice in fresh sessions: relative locations, movie_stats kept then reused
+    for _ in range(2):
+        res = subprocess.run([sys.executable, "-m", "reelstat", "warehouse",
+                              "--ratings", "cli/ratings_clean", "--movies", "cli/movies_clean",
+                              "--format", "parquet", "--min-count", "20", "--min-avg", "3.0"],
+                             env=env, cwd=tmp_dir, capture_output=True, text=True, timeout=600)
+        assert res.returncode == 0, res.stderr[-2000:]
+        assert "movie_stats_top" in res.stdout
+    assert spark.read.parquet(os.path.join(tmp_dir, "movie_stats")).count() > 0
 
 
 def test_chart_series(spark):
