@@ -8,17 +8,16 @@ per-user and per-movie tables stay split across tasks.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.operators import clean, recommend, stats
 from reelstat.plans import warehouse_sql
+from reelstat.session import join_path
 from reelstat.sources import files, materialize, register_external, schemas
 
 
 def _out(base: str, name: str) -> str:
-    return base.rstrip("/") + "/" + name if "://" in base else os.path.join(base, name)
+    return join_path(base, name)
 
 
 def clean_job(spark: SparkSession, ratings_csv: str, movies_csv: str, out_dir: str,

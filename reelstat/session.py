@@ -8,6 +8,7 @@ the bench and scripts; on a cluster the submitter's session is used as is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -75,7 +76,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def has_scheme(path: str) -> bool:
+    """True for URIs such as ``file:/x``, ``hdfs://nn/x``, ``s3a://b/x``."""
+    return re.match(r"^[A-Za-z][A-Za-z0-9+.-]+:", path) is not None
+
+
+def join_path(base: str, name: str) -> str:
+    return base.rstrip("/") + "/" + name if has_scheme(base) else os.path.join(base, name)
+
+
+def absolute(path: str) -> str:
+    """Local relative paths made absolute; URIs and absolute paths unchanged."""
+    return path if has_scheme(path) or path.startswith("/") else os.path.abspath(path)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+    return join_path(ensure_checkpoint_dir(spark), name)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import contextlib
-import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from reelstat.session import absolute
 from reelstat.sources.schemas import ddl
 
 
@@ -23,8 +23,7 @@ def register_external(spark: SparkSession, name: str, path: str, schema: StructT
     Dropping the table keeps the files.  CSV tables use a header and ``"`` as
     escape, so titles with commas and quotes stay in their column.
     """
-    if "://" not in path and not path.startswith("/"):
-        path = os.path.abspath(path)     # LOCATION would resolve against the warehouse folder
+    path = absolute(path)                # LOCATION would resolve against the warehouse folder
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     opts = ""
@@ -47,9 +46,7 @@ def materialize(df: DataFrame, name: str, mode: str = "ignore", fmt: str = "parq
     """
     w = df.write.mode(mode).format(fmt)
     if path:
-        if "://" not in path and not path.startswith("/"):
-            path = os.path.abspath(path)
-        w = w.option("path", path)
+        w = w.option("path", absolute(path))
     if bucket_by:
         w = w.bucketBy(bucket_by[0], bucket_by[1])
         if sort_by:

@@ -68,3 +68,10 @@ def test_external_table_relative_location(spark, tmp_dir, monkeypatch):
     t = register_external(spark, "ratings_rel", "rel_ratings", schemas.RATINGS_CLEAN, replace=True)
     assert t.count() == r.count()
     spark.sql("DROP TABLE ratings_rel")
+
+
+def test_paths_keep_uri_schemes():
+    from reelstat.session import absolute, has_scheme, join_path
+    assert absolute("file:/tmp/x") == "file:/tmp/x" and has_scheme("hdfs://nn/x")
+    assert absolute("s3a://b/x") == "s3a://b/x" and join_path("file:/tmp", "t") == "file:/tmp/t"
+    assert absolute("rel/x") == os.path.abspath("rel/x") and not has_scheme("/tmp/x")
