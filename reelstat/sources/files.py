@@ -27,20 +27,24 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
 
 
 def read_ratings(spark, path, mode="FAILFAST"):
+    """Raw ratings CSV: userId, movieId, rating, timestamp (epoch seconds)."""
     return read_csv(spark, path, schemas.RATINGS_RAW, mode)
 
 
 def read_movies(spark, path, mode="FAILFAST"):
+    """Raw movies CSV: movieId, title, genres (pipe-separated)."""
     return read_csv(spark, path, schemas.MOVIES_RAW, mode)
 
 
 def read_ratings_clean(spark, path, fmt="csv", mode="FAILFAST"):
+    """Cleaned ratings (userId, movieId, rating, date) in CSV or another format."""
     if fmt == "csv":
         return read_csv(spark, path, schemas.RATINGS_CLEAN, mode)
     return spark.read.schema(schemas.RATINGS_CLEAN).format(fmt).load(path)
 
 
 def read_movies_clean(spark, path, fmt="csv", mode="FAILFAST"):
+    """Cleaned movies (movieId, title, year, genres, main_genre); ``year`` stays a string."""
     if fmt == "csv":
         return read_csv(spark, path, schemas.MOVIES_CLEAN, mode)
     return spark.read.schema(schemas.MOVIES_CLEAN).format(fmt).load(path)
