@@ -84,3 +84,12 @@ def test_chart_series(spark):
     assert f1 == sorted(f1) and len(f1) == 10
     f4 = [x.year for x in series["fig4_year_trend"].collect()]
     assert f4 == sorted(f4) and len(f4) == 15
+
+
+def test_chart_series_with_model(spark):
+    from reelstat.operators import recommend
+    r, m = testdata.ratings(spark, SF), testdata.movies(spark, SF)
+    train, test = recommend.split_ratings(r)
+    model = recommend.fit_als(train, rank=2, max_iter=2)
+    f5 = jobs.chart_series(r, m, model, train, test)["fig5_als_metrics"].first()
+    assert f5.rmse > 0 and f5.train_n + f5.test_n == r.count()
