@@ -156,3 +156,17 @@ def test_nested_recommendation_shape_round_trip(spark, model_and_split):
     assert a == b
     ml = recommend.explode_recs(model.recommendForAllItems(3), "movieId", "userId")
     assert ml.count() == flat.count()
+
+
+def test_subsets_given_as_dataframes(spark, model_and_split):
+    model, _, _ = model_and_split
+    movies = spark.createDataFrame([(i, f"m{i}", "", "G", "G") for i in range(150)], schemas.MOVIES_CLEAN)
+    users = spark.createDataFrame([(7,), (3,), (120,)], "userId int")
+    recs = recommend.user_recs(model, movies, k=4, users=users).collect()
+    assert [r.userId for r in recs] == [3] * 4 + [7] * 4 + [120] * 4
+    assert [r.rank for r in recs[:4]] == [1, 2, 3, 4]
+    full = {(r.userId, r.rank): r.movieId for r in recommend.user_recs(model, movies, k=4).collect()}
+    assert all(full[(r.userId, r.rank)] == r.movieId for r in recs)
+    items = spark.createDataFrame([(10,), (20,)], "movieId int")
+    sim = recommend.similar_items(model, movies, k=3, items=items).collect()
+    assert sorted({r.origMovieId for r in sim}) == [10, 20] and len(sim) == 6
