@@ -99,3 +99,12 @@ def test_kernel_against_brute_force(k, m, self_ids):
         sc = lmat[a] @ rmat.T
         cand = sorted((-sc[c], rid[c]) for c in range(m) if not (self_ids and rid[c] == li))[:k]
         assert [(b, -ns) for ns, b in cand] == [(b, c) for _, b, c in sorted(got[int(li)])]
+
+
+def test_empty_inputs(spark):
+    from reelstat.operators.similarity import dot_top_k
+    empty = spark.createDataFrame([], "id long, features array<float>")
+    some = frame(spark, [1, 2], np.eye(2, dtype=np.float32))
+    assert cosine_top_k(empty, k=3).count() == 0
+    assert dot_top_k(empty, some, k=3).count() == 0
+    assert dot_top_k(some, empty, k=3).count() == 0
