@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from reelstat.llm.common import table
+from pyspark.sql import functions as F
+
+from reelstat.llm.common import id_crc32, table
 from reelstat.llm.exact_dedup import exact_dedup
+from reelstat.llm.lm_scoring import lm_scores
+
+
+def op1_lm_scoring(spark, sf_dir):
+    """Bigrams; one training document in ten belongs to the deleted fold."""
+    code = id_crc32("doc_id")
+    return lm_scores(table(spark, sf_dir, "documents"), train=code % 7 != 2, fold=F.floor(code / 7) % 10 == 0)
 
 
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup,)}
+QUERIES = {f.__name__: f for f in (
+    op1_lm_scoring, op5_exact_dedup,
+)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
