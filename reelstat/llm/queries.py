@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from reelstat.llm.common import id_crc32, table
 from reelstat.llm.exact_dedup import exact_dedup
 from reelstat.llm.lm_scoring import lm_scores
+from reelstat.llm.packing import pack_documents
+from reelstat.llm.token_counts import token_counts
+
+#: Public vocabulary of the contracts, and the same vocabulary as ranks.
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
 def op1_lm_scoring(spark, sf_dir):
@@ -15,12 +20,20 @@ def op1_lm_scoring(spark, sf_dir):
     return lm_scores(table(spark, sf_dir, "documents"), train=code % 7 != 2, fold=F.floor(code / 7) % 10 == 0)
 
 
+def op3_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, RANKS, end_id=2, capacity=1024)
+
+
+def op4_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), TOKENIZER, limit=1024)
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_lm_scoring, op5_exact_dedup,
+    op1_lm_scoring, op3_packing, op4_token_counts, op5_exact_dedup,
 )}
 
 ORACLE_SQL = {
