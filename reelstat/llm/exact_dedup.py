@@ -211,7 +211,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flat = text_identities(docs, id_col, text_col, block_bytes)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "chunk", "place")
     groups = flat.groupBy("size", "name").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
-    return flat.join(groups, ["size", "name"]).select(
-        "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
-        ((F.col("chunk") == F.col("first.chunk")) & (F.col("place") == F.col("first.place"))).alias("kept"),
-        "text_sha256")
+    # written, so that the join has exchanges of its own and splits a hot group
+    groups = stored(groups.where("group_size > 1"), "exact_dedup-groups")
+    alone = F.col("first").isNull()
+    kept = (F.col("chunk") == F.col("first.chunk")) & (F.col("place") == F.col("first.place"))
+    return flat.join(groups, ["size", "name"], "left").select(
+        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | kept).alias("kept"), "text_sha256")
