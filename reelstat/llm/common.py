@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +25,8 @@ from reelstat.session import shared_dir
 
 #: Word separators of all contracts: space and the five ASCII controls 09-0D.
 SPACE = r"[\x20\x09-\x0D]+"
-#: Bytes of text (with ids) that one chunk gathers before it is packed.
-CHUNK_BYTES = 32 << 20
+#: Bytes of text that one chunk gathers before it is packed.
+CHUNK_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,17 +51,21 @@ def id_crc32(column: str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
-def chunked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, pa.Table]]:
-    """Tables of about ``limit`` bytes with an id unique in the job: the task's
-    partition number and a running number, the same when a task is run again."""
+def chunked(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[tuple[int, pa.Table]]:
+    """Tables with about ``limit`` bytes of ``column`` (one row at least) and an id unique
+    in the job: the task's partition number and a running number, the same when a task
+    is run again."""
     first, held, size, n = TaskContext.get().partitionId() << 24, [], 0, 0
     for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.nbytes
-        if size >= limit:
-            yield first + n, pa.Table.from_batches(held).combine_chunks()
-            held, size, n = [], 0, n + 1
+        ends, at = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)), 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            to = min(batch.num_rows, int(np.searchsorted(ends, done + limit - size)) + 1)
+            held.append(batch.slice(at, to - at))
+            size, at = size + int(ends[to - 1] - done), to
+            if size >= limit:
+                yield first + n, pa.Table.from_batches(held).combine_chunks()
+                held, size, n = [], 0, n + 1
     if held:
         yield first + n, pa.Table.from_batches(held).combine_chunks()
 

@@ -106,11 +106,11 @@ def _ask(order: int, buckets: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                keys = _keys(row, order)
+                keys = _keys(row, order)[::-1]
                 trains = np.repeat(np.array(row["trains"], bool), unpack(row["sizes"], np.int64))
                 sets, counts = [], []
-                for k in keys:
-                    distinct, inverse = np.unique(k, return_inverse=True)
+                while keys:
+                    distinct, inverse = np.unique(keys.pop(), return_inverse=True)
                     sets.append(distinct)
                     counts.append(np.bincount(inverse, weights=trains, minlength=len(distinct)).astype(np.uint32))
                 distinct, counts = np.concatenate(sets), np.concatenate(counts)
