@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from reelstat.llm.common import id_crc32, table
 from reelstat.llm.exact_dedup import exact_dedup
 from reelstat.llm.lm_scoring import lm_scores
+from reelstat.llm.mixing import mix_sources, taken_words
 from reelstat.llm.packing import pack_documents
 from reelstat.llm.token_counts import token_counts
+from reelstat.llm.toxicity import toxicity_scores, train
+from reelstat.llm.warc_zip import archived_pages
 
 #: Public vocabulary of the contracts, and the same vocabulary as ranks.
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -20,6 +23,11 @@ def op1_lm_scoring(spark, sf_dir):
     return lm_scores(table(spark, sf_dir, "documents"), train=code % 7 != 2, fold=F.floor(code / 7) % 10 == 0)
 
 
+def op2_warc(spark, sf_dir):
+    return archived_pages(spark, table(spark, sf_dir, "pages")).select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, RANKS, end_id=2, capacity=1024)
 
@@ -32,11 +40,33 @@ def op5_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_crc32("doc_id") % 3 == 1
+    model = train(docs, table(spark, sf_dir, "labels"), usable=~held_out)
+    marked = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return toxicity_scores(marked, model, ["doc_id", "held_out"], threshold=0.7)
+
+
+def op10_mixing(spark, sf_dir):
+    """Weights 1, 2, 3; targets stop at 3 times a source's words."""
+    return taken_words(mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_lm_scoring, op3_packing, op4_token_counts, op5_exact_dedup,
+    op1_lm_scoring, op2_warc, op3_packing, op4_token_counts, op5_exact_dedup, op6_toxicity, op10_mixing,
 )}
 
 ORACLE_SQL = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+             t AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS d,
+                          CASE WHEN octet_length(encode(h)) >= 1000 THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS r
+                   FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+               CASE WHEN r = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN r <> page_id THEN r END AS refers_to
+        FROM t""",
     "op5_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
