@@ -8,7 +8,7 @@ training sample; the Nystroem map K(x, Z) K(Z, Z)^(-1/2) turns the kernel into a
 vector, and a linear SVM is trained on it.  A sentence is as toxic as its worst unit, a
 document as its worst sentence; only documents have labels, so which units of toxic
 sentences are the insults is learned in rounds (multi-instance): first those that
-clean sentences never hold, then those that the classifier itself finds, against the
+clean sentences never hold (more often than chance explains), then those that the classifier itself finds, against the
 clean units that it confuses most.  Platt scaling on other labelled rows makes the score.
 
 The trained decision is linear in the subsequence weights, so it folds into one table of
@@ -22,11 +22,13 @@ the driver; the statistics of units are counted by Spark.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +43,11 @@ LANDMARKS = 192
 #: Characters between the first and the last of a subsequence; longer units are
 #: covered by overlapping windows.
 SPAN, WINDOW, DECAY = 5, 24, 0.5
+#: Share of the first list of insults that chance may explain.
+CHANCE = 0.05
 #: Characters fold into so many symbols; the table has SYMBOLS ** 3 weights.
 SYMBOLS = 97
+SENTENCE = re.compile(r"[.!?\n]+")
 EDGES = ".,;:!?\"'()[]{}|*%#&$-_<>/\\~`^+="
 GAPS = [(near, far, DECAY ** (far - 2)) for far in range(2, SPAN + 1) for near in range(1, far)]
 
@@ -192,15 +197,18 @@ def platt(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 0.1)), float(w[1])
 
 
-def _distinct_units(batches):
+def _sentence_units(batches):
+    """Labelled texts -> (sentence, unit, toxic); equal sentences have equal numbers."""
     for batch in batches:
-        units, owner = unit_lists(batch.column("text"))
-        coded = units.dictionary_encode()
-        pairs = np.unique(owner * (len(coded.dictionary) + 1) + coded.indices.to_numpy())
-        owner, code = np.divmod(pairs, len(coded.dictionary) + 1)
+        sentences, toxic = [], []
+        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            own = {s for s in map(str.strip, SENTENCE.split(text.lower())) if s}
+            sentences.extend(own)
+            toxic.extend([label] * len(own))
+        units, owner = unit_lists(pa.array(sentences, pa.large_string()))
+        number = np.array([xxhash.xxh3_64_intdigest(s) for s in sentences], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_pydict({
-            "unit": coded.dictionary.take(pa.array(code)).cast(pa.string()),
-            "toxic": batch.column("toxic").take(pa.array(owner))})
+            "sentence": number[owner], "unit": units.cast(pa.string()), "toxic": np.array(toxic, np.int32)[owner]})
 
 
 def _unit_margins(model):
@@ -247,15 +255,25 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).join(
         F.broadcast(sample), "id").select("fold", "toxic", "text"), "toxicity-sample")
 
-    found = stored(texts.where("fold > 0").select("text", "toxic").mapInArrow(_distinct_units, "unit string, toxic int")
-                   .groupBy("unit").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")), "toxicity-units")
+    # a sentence that a clean document holds too is clean; copies of a sentence count once
+    heard = texts.where("fold > 0").select("text", "toxic").mapInArrow(
+        _sentence_units, "sentence long, unit string, toxic int").groupBy("unit", "sentence").agg(
+        F.min("toxic").alias("toxic"))
+    found = stored(heard.groupBy("unit").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")),
+                   "toxicity-units")
     by_hash = F.xxhash64("unit")
 
     def top(rows, *order):
         return [r["unit"] for r in rows.orderBy(*order, by_hash, "unit").limit(units).collect()]
 
+    # units that only toxic sentences hold, so often that chance explains few of them
+    toxic, clean = found.agg(F.sum("p"), F.sum("n")).first()
+    often = found.groupBy((F.col("p") + F.col("n")).alias("times")).agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(F.col("n") == 0).alias("only")).where("only > 0")
+    by_chance = F.col("all") * F.pow(F.lit((toxic or 0) / max(1, (toxic or 0) + (clean or 0))), F.col("times"))
+    least = often.where(by_chance <= CHANCE * F.col("only")).agg(F.min("times")).first()[0]
     only = found.where("p > 0 AND n = 0")
-    positive = top(only.where("p > 1"), F.desc("p")) or top(only, F.desc("p"))
+    positive = top(only.where(F.col("p") >= (least or 1)), F.desc("p"))
     clean = sorted({*top(found.where("n > 0"), F.desc("n")), *top(found.where("n > 0"))})
     if not positive or not clean:
         return Model(offset=-30.0)
