@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reelstat.llm.common import id_crc32, table
 from reelstat.llm.exact_dedup import exact_dedup
 from reelstat.llm.lm_scoring import lm_scores
+from reelstat.llm.minhash import near_duplicates
 from reelstat.llm.mixing import mix_sources, taken_words
 from reelstat.llm.packing import pack_documents
 from reelstat.llm.token_counts import token_counts
@@ -48,14 +49,20 @@ def op6_toxicity(spark, sf_dir):
     return toxicity_scores(marked, model, ["doc_id", "held_out"], threshold=0.7)
 
 
+def op9_minhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
+
+
 def op10_mixing(spark, sf_dir):
     """Weights 1, 2, 3; targets stop at 3 times a source's words."""
     return taken_words(mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_lm_scoring, op2_warc, op3_packing, op4_token_counts, op5_exact_dedup, op6_toxicity, op10_mixing,
+    op1_lm_scoring, op2_warc, op3_packing, op4_token_counts, op5_exact_dedup, op6_toxicity, op9_minhash, op10_mixing,
 )}
+#: Words of the lower-cased (A-Z) text as a list.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 
 ORACLE_SQL = {
     "op2_warc": """
@@ -72,4 +79,15 @@ ORACLE_SQL = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS keep_id, count(*) OVER (PARTITION BY s) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY s) AS kept, sha256(s) AS text_sha256
         FROM t""",
+    "op9_minhash": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) <= 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+              FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM m LEFT JOIN n USING (doc_id)""",
 }
