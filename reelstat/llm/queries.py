@@ -10,6 +10,8 @@ from reelstat.llm.lm_scoring import lm_scores
 from reelstat.llm.minhash import near_duplicates
 from reelstat.llm.mixing import mix_sources, taken_words
 from reelstat.llm.packing import pack_documents
+from reelstat.llm.pii import KINDS, find_private, joined
+from reelstat.llm.quality import log_ratios, quality_rules
 from reelstat.llm.token_counts import token_counts
 from reelstat.llm.toxicity import toxicity_scores, train
 from reelstat.llm.warc_zip import archived_pages
@@ -49,6 +51,22 @@ def op6_toxicity(spark, sf_dir):
     return toxicity_scores(marked, model, ["doc_id", "held_out"], threshold=0.7)
 
 
+def op7_pii(spark, sf_dir):
+    found = find_private(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
+def op8_quality_rules(spark, sf_dir):
+    """Trusted are the documents labelled as good."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules(docs, log_ratios(docs, labels.where("quality = 1")))
+
+
 def op9_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
 
@@ -59,7 +77,8 @@ def op10_mixing(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_lm_scoring, op2_warc, op3_packing, op4_token_counts, op5_exact_dedup, op6_toxicity, op9_minhash, op10_mixing,
+    op1_lm_scoring, op2_warc, op3_packing, op4_token_counts, op5_exact_dedup, op6_toxicity, op7_pii, op8_quality_rules,
+    op9_minhash, op10_mixing,
 )}
 #: Words of the lower-cased (A-Z) text as a list.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
