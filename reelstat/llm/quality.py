@@ -60,9 +60,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     marks = trusted.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct().withColumn(
         "trusted", F.lit(1))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(marks, "id", "left")
-    cells = with_ngrams(rows).select("trusted", F.explode("ngrams").alias("cell")).groupBy("cell").agg(
-        F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("good")).collect()      # at most BUCKETS rows
-    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    # outer: an inner explode would infer a filter that computes the n-grams once more
+    cells = with_ngrams(rows).select("trusted", F.explode_outer("ngrams").alias("cell")).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("good")).where("cell IS NOT NULL").collect()
+    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)        # at most BUCKETS rows came
     for r in cells:
         raw[r["cell"]], good[r["cell"]] = r["raw"], r["good"]
     if not good.sum():
