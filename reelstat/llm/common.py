@@ -57,7 +57,8 @@ def chunked(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text")
     is run again."""
     first, held, size, n = TaskContext.get().partitionId() << 24, [], 0, 0
     for batch in batches:
-        ends, at = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)), 0
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends, at = np.cumsum(sizes.to_numpy(zero_copy_only=False)), 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
             to = min(batch.num_rows, int(np.searchsorted(ends, done + limit - size)) + 1)

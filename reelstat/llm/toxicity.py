@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelstat.llm.common import CHUNK_BYTES, chunked, stored, text_of
 
@@ -47,6 +48,7 @@ SPAN, WINDOW, DECAY = 5, 24, 0.5
 CHANCE = 0.05
 #: Characters fold into so many symbols; the table has SYMBOLS ** 3 weights.
 SYMBOLS = 97
+MARGIN = "__margin"
 SENTENCE = re.compile(r"[.!?\n]+")
 EDGES = ".,;:!?\"'()[]{}|*%#&$-_<>/\\~`^+="
 GAPS = [(near, far, DECAY ** (far - 2)) for far in range(2, SPAN + 1) for near in range(1, far)]
@@ -219,25 +221,35 @@ def _unit_margins(model):
     return run
 
 
-def _document_margins(table: pa.Table, model: Model) -> np.ndarray:
-    units, owner = unit_lists(table.column("text").combine_chunks())
-    out = np.full(table.num_rows, model.bias - 1.0)             # texts without units
+def _document_margins(texts: pa.Array, model: Model) -> np.ndarray:
+    units, owner = unit_lists(texts)
+    out = np.full(len(texts), model.bias - 1.0)                 # texts without units
     coded = units.dictionary_encode()
     if len(units):
         np.maximum.at(out, owner, margins(coded.dictionary.to_pylist(), model)[coded.indices.to_numpy()])
     return out
 
 
-def _with_margins(model):
-    """Rows with the margin of their text in its place."""
-
+def _append_margins(model, column: str):
     def run(batches):
-        for _, t in chunked(batches, CHUNK_BYTES):
-            got, text = _document_margins(t, model.value), t.schema.names.index("text")
-            yield from t.set_column(text, "margin", pa.array(got)).to_batches()
+        for _, t in chunked(batches, CHUNK_BYTES, column):
+            texts = pc.fill_null(t.column(column).combine_chunks(), "")
+            yield from t.append_column(MARGIN, pa.array(_document_margins(texts, model.value))).to_batches()
     return run
 
 
+def with_margin(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """All columns of the documents and the classifier's margin of their whole text."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(MARGIN, T.DoubleType())])
+    return docs.mapInArrow(_append_margins(docs.sparkSession.sparkContext.broadcast(model), text_col), schema)
+
+
+def score_of(model: Model) -> Column:
+    """Platt's score of the margin column."""
+    line = F.lit(model.slope) * F.col(MARGIN) + F.lit(model.offset)
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), line))))
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", rows: int = ROWS, units: int = UNITS) -> Model:
     """Fit on the labelled rows where ``usable`` (an expression of the id) holds."""
@@ -284,8 +296,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         positive = top(scored.where("p > 0 AND n = 0 AND margin > 0"), F.desc("p"), F.desc("margin")) or positive
         clean = sorted({*clean, *top(scored.where("n > 0 AND margin > -1"), F.desc("margin"))})
         model = fit_svm(positive, clean)
-    held = [(r["margin"], r["toxic"]) for r in texts.where("fold = 0").select("toxic", "text").mapInArrow(
-        _with_margins(spark.sparkContext.broadcast(model)), "toxic int, margin double").collect()]
+    held = [(r[MARGIN], r["toxic"]) for r in with_margin(
+        texts.where("fold = 0").select("toxic", "text"), model).select("toxic", MARGIN).collect()]
     if held:
         margin, label = (np.array(x, float) for x in zip(*held))
         model.slope, model.offset = platt(margin, label)
@@ -301,13 +313,7 @@ def toxicity_scores(docs: DataFrame, model: Model, columns: list[str], text_col:
     Null and empty texts get the score of a text without any unit.  Repeated rows
     are scored each; an empty table gives an empty result; only the text is an input.
     """
-    for name in ("text", "margin"):
-        if name in columns:
-            raise ValueError(f"rename column {name}: the scorer uses it")
-    spark = docs.sparkSession
-    rows = docs.select(*columns, text_of(text_col).alias("text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    scored = rows.mapInArrow(_with_margins(spark.sparkContext.broadcast(model)), f"{schema}, margin double")
-    line = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(model.slope) * F.col("margin") + F.lit(model.offset)))
-    score = 1 / (1 + F.exp(-line))
-    return scored.withColumn("score", score).withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop("margin")
+    own = docs.select(*[c for c in columns if c != text_col], F.col(text_col).cast("string"))
+    scored = with_margin(own, model, text_col)
+    score = score_of(model)
+    return scored.select(*columns, score.alias("score"), (score >= threshold).cast("int").alias("predicted"))
