@@ -9,7 +9,6 @@ sources    schemas, file sources/sinks, catalog tables, test-table adapter
 functions  column expressions (dates, titles, genres, rounding, hashing)
 operators  cleaning, statistics, warehouse aggregates, recommendation, similarity
 plans      the registered queries, their SQL oracles, the SQL (warehouse) route, jobs
-streaming  nothing: the workload is batch only (see module docstring)
 """
 
 

@@ -19,14 +19,15 @@ def clean_ratings(raw: DataFrame, min_rating: float = MIN_RATING, max_rating: fl
     """Keep ratings in ``[min_rating, max_rating]``; epoch seconds -> date.
 
     NaN, infinities and nulls fail the range test and are dropped.  ``step``
-    (off by default) also requires the rating to be a multiple of it.
+    (off by default) also requires the rating to be a multiple of it, up to the
+    rounding of binary doubles (0.3 is a multiple of 0.1).
     ``tz`` names the zone of the date; ``None`` uses the session zone.
     """
     r = F.col("rating")
     keep = r.between(F.lit(min_rating), F.lit(max_rating)) & ~F.isnan(r)
     if step:
         q = r / F.lit(step)
-        keep = keep & (q == F.floor(q))
+        keep = keep & (F.abs(q - F.round(q)) <= F.lit(1e-9) * F.greatest(F.abs(q), F.lit(1.0)))
     return raw.where(keep).select(
         "userId", "movieId", "rating", epoch_to_date("timestamp", tz).alias("date"))
 

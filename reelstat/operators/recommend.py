@@ -3,7 +3,9 @@
 ALS is Spark ML's block-partitioned alternating least squares.  The fit
 checkpoints its factor lineage every ``checkpoint_interval`` iterations into
 the session's shared checkpoint folder, so a lost executor costs at most
-that many iterations.
+that many iterations.  The number of factor blocks is part of the model: it decides
+how the random start is laid out, so it is a fixed argument and never taken from the
+cores at hand.
 """
 
 from __future__ import annotations
@@ -68,39 +70,45 @@ def cold_start_summary(train: DataFrame, test: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- fit / predict
 
+def _int_id(name: str) -> F.Column:
+    exact = F.col(name).try_cast("decimal(38,6)")
+    fits = (exact == F.floor(exact)) & exact.between(-(1 << 31), (1 << 31) - 1)
+    refused = F.raise_error(F.concat(F.lit(f"{name} is no int: "), F.col(name).cast("string")))
+    return F.when(F.col(name).isNull(), F.lit(None)).when(fits, exact.try_cast("int")).otherwise(refused).cast("int").alias(name)
+
+
 def to_als_input(ratings: DataFrame) -> DataFrame:
-    """userId, movieId, rating with unusable ratings (null, NaN, <= 0) removed.
+    """userId int, movieId int, rating double; unusable ratings (null, NaN, <= 0) removed.
 
-    Ids are passed as they are: ALS refuses ids outside the int range or
-    with a fraction instead of silently truncating them.
+    Ids may be numbers or numeric strings; one with a fraction or outside the int
+    range is an error, never truncated.
     """
     r = F.col("rating").cast("double")
-    return ratings.select("userId", "movieId", r.alias("rating")) \
+    return ratings.select(_int_id("userId"), _int_id("movieId"), r.alias("rating")) \
                   .where(r.isNotNull() & ~F.isnan(r) & (r > F.lit(0.0)))
 
 
 def fit_als(train: DataFrame, rank: int = 20, max_iter: int = 10, reg_param: float = 0.1,
             nonnegative: bool = True, seed: int = 42, cold_start: str = "drop",
-            num_blocks: int | None = None, checkpoint_interval: int = 10,
+            num_blocks: int = 10, checkpoint_interval: int = 2,
             layout_partitions: int | None = None) -> ALSModel:
     """Explicit-feedback ALS.
 
     The input is laid out by a hash of (user, movie) and sorted inside each
     partition before fitting, so the same ratings refit to the same factors
-    whatever partitioning they arrive in (with the fixed seed).
+    whatever partitioning they arrive in and whatever cores run it (with the fixed
+    seed and ``num_blocks``).  Other ``num_blocks`` give another model; raise it for
+    factors that outgrow a task, and keep it then.
     """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     parts = layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     data = (to_als_input(train).repartition(parts, "userId", "movieId")
             .sortWithinPartitions("userId", "movieId", "rating"))
-    # one block per core: every half-iteration is one wave of tasks (blocking
-    # changes only the summation order of the normal equations)
-    blocks = num_blocks or max(1, spark.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, nonnegative=nonnegative,
               userCol="userId", itemCol="movieId", ratingCol="rating",
               coldStartStrategy=cold_start, seed=seed, checkpointInterval=checkpoint_interval,
-              numUserBlocks=blocks, numItemBlocks=blocks)
+              numUserBlocks=num_blocks, numItemBlocks=num_blocks)
     return als.fit(data)
 
 
@@ -120,11 +128,15 @@ def evaluate_rmse(predictions: DataFrame) -> DataFrame:
                            F.count(F.lit(1)).alias("scored"))
 
 
-def als_metrics(model: ALSModel, train: DataFrame, test: DataFrame) -> DataFrame:
-    """One row: rmse, train_n, test_n (the evaluation chart's series)."""
-    parts = [evaluate_rmse(predict(model, test)).select("rmse"),
-             train.agg(F.count(F.lit(1)).alias("train_n")),
-             test.agg(F.count(F.lit(1)).alias("test_n"))]
+def als_metrics(model: ALSModel, train: DataFrame, test: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """One row: rmse, train_n, test_n (the evaluation chart's series).
+
+    ``sizes`` (train, n: ``split_summary``) saves counting the two sides one by one."""
+    counts = [train.agg(F.count(F.lit(1)).alias("train_n")), test.agg(F.count(F.lit(1)).alias("test_n"))]
+    if sizes is not None:
+        side = lambda train: F.coalesce(F.sum(F.when(F.col("train") == train, F.col("n"))), F.lit(0))
+        counts = [sizes.agg(side(True).alias("train_n"), side(False).alias("test_n"))]
+    parts = [evaluate_rmse(predict(model, test)).select("rmse"), *counts]
     cols = ["rmse", "train_n", "test_n"]
     u = None
     for p in parts:
@@ -134,11 +146,15 @@ def als_metrics(model: ALSModel, train: DataFrame, test: DataFrame) -> DataFrame
                  F.sum("test_n").alias("test_n"))
 
 
-def als_grid(train: DataFrame, test: DataFrame, reg_params=(0.01, 0.1, 1.0), **fit_args) -> DataFrame:
-    """reg_param, rmse - one fit per value (each fit is a distributed job)."""
+def als_grid(train: DataFrame, test: DataFrame, reg_params=(0.01, 0.1, 1.0), fitted: dict | None = None,
+             **fit_args) -> DataFrame:
+    """reg_param, rmse - one fit per value (each fit is a distributed job).
+
+    The fits run when this is called, the evaluations with the result.  ``fitted``
+    maps values to models that are already there (of the same other arguments)."""
     rows = []
     for rp in reg_params:
-        m = fit_als(train, reg_param=rp, **fit_args)
+        m = (fitted or {}).get(rp) or fit_als(train, reg_param=rp, **fit_args)
         rows.append(evaluate_rmse(predict(m, test)).select(F.lit(float(rp)).alias("reg_param"), "rmse"))
     out = rows[0]
     for r in rows[1:]:
@@ -169,6 +185,29 @@ def _subset(factors: DataFrame, which, name: str) -> DataFrame:
     return factors.join(ids.distinct(), "id", "left_semi")
 
 
+def titled_recs(top: DataFrame, movies: DataFrame) -> DataFrame:
+    """Top-k rows (i, j, score, rank) of users and movies with the movie's title."""
+    return (top.join(movies.select(F.col("movieId").cast("long").alias("j"), "title"), "j")
+               .select(F.col("i").cast("int").alias("userId"), "rank", F.col("j").cast("int").alias("movieId"),
+                       "title", round_half_up("score", 2).alias("predictedRating")))
+
+
+def named_users(top: DataFrame) -> DataFrame:
+    """Top-k rows (i, j, score, rank) of movies and users."""
+    return top.select(F.col("i").cast("int").alias("movieId"), "rank", F.col("j").cast("int").alias("userId"),
+                      round_half_up("score", 2).alias("predictedRating"))
+
+
+def titled_pairs(top: DataFrame, movies: DataFrame) -> DataFrame:
+    """Top-k rows (i, j, score, rank) of movies with both titles."""
+    titles = movies.select("movieId", "title")
+    return (top.join(titles.select(F.col("movieId").cast("long").alias("i"), F.col("title").alias("origTitle")), "i")
+               .join(titles.select(F.col("movieId").cast("long").alias("j"), F.col("title").alias("similarTitle")), "j")
+               .select(F.col("i").cast("int").alias("origMovieId"), "origTitle", "rank",
+                       F.col("j").cast("int").alias("similarMovieId"), "similarTitle",
+                       round_half_up("score", 2).alias("similarityScore")))
+
+
 def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """userId, rank, movieId, title, predictedRating - top-k movies per user.
@@ -183,9 +222,7 @@ def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
     """
     top = dot_top_k(_subset(model.userFactors, users, "userId"), model.itemFactors, k,
                     block_rows=block_rows, precise=False)
-    out = (top.join(movies.select(F.col("movieId").cast("long").alias("j"), "title"), "j")
-              .select(F.col("i").cast("int").alias("userId"), "rank", F.col("j").cast("int").alias("movieId"),
-                      "title", round_half_up("score", 2).alias("predictedRating")))
+    out = titled_recs(top, movies)
     return out if users is None else out.orderBy("userId", "rank")
 
 
@@ -193,8 +230,7 @@ def item_users(model: ALSModel, k: int = 5, items=None, block_rows: int = BLOCK_
     """movieId, rank, userId, predictedRating - the k users predicted to rate each movie highest."""
     top = dot_top_k(_subset(model.itemFactors, items, "movieId"), model.userFactors, k,
                     block_rows=block_rows, precise=False)
-    out = top.select(F.col("i").cast("int").alias("movieId"), "rank", F.col("j").cast("int").alias("userId"),
-                     round_half_up("score", 2).alias("predictedRating"))
+    out = named_users(top)
     return out if items is None else out.orderBy("movieId", "rank")
 
 
@@ -209,12 +245,7 @@ def similar_items(model: ALSModel, movies: DataFrame, k: int = 5, items=None,
     if items is not None:
         queries = _subset(model.itemFactors, items, "movieId").select("id")
     top = cosine_top_k(model.itemFactors, k, queries=queries, block_rows=block_rows)
-    titles = movies.select("movieId", "title")
-    out = (top.join(titles.select(F.col("movieId").cast("long").alias("i"), F.col("title").alias("origTitle")), "i")
-              .join(titles.select(F.col("movieId").cast("long").alias("j"), F.col("title").alias("similarTitle")), "j")
-              .select(F.col("i").cast("int").alias("origMovieId"), "origTitle", "rank",
-                      F.col("j").cast("int").alias("similarMovieId"), "similarTitle",
-                      round_half_up("score", 2).alias("similarityScore")))
+    out = titled_pairs(top, movies)
     return out if items is None else out.orderBy("origTitle", "origMovieId", "rank")
 
 

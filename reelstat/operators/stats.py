@@ -9,7 +9,7 @@ movie instead of one per rating.  The catalogue side is joined without a
 forced hint: Spark broadcasts it only when its measured size is under the
 broadcast threshold and otherwise shuffles both sides by movieId.
 
-Means are rounded half-up through decimal(20,8) (``round_half_up``).
+Means are rounded half-up through decimal(38,12) (``round_half_up``).
 Every ORDER BY .. LIMIT ends with the entity key, so ties are deterministic.
 """
 
@@ -170,7 +170,7 @@ def year_trend(ratings: DataFrame, movies: DataFrame, n: int = 15) -> DataFrame:
 
 def user_activity(ratings: DataFrame) -> DataFrame:
     """userId, rating_count."""
-    return ratings.groupBy("userId").count().withColumnRenamed("count", "rating_count")
+    return ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("rating_count"))
 
 
 def user_activity_stats(ratings: DataFrame) -> DataFrame:
@@ -212,12 +212,14 @@ def _n_distinct(df: DataFrame, col: str, name: str, approximate: bool) -> DataFr
 
 def overall_summary(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """total_ratings, total_movies, total_users, avg_rating - one row."""
-    parts = [ratings.agg(F.count(F.lit(1)).alias("total_ratings"),
-                         F.sum("rating").alias("s"), F.count("rating").alias("c")),
-             _n_distinct(ratings, "userId", "total_users", False),
+    # one pass: per user first, then over the users
+    users = ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("s"),
+                                          F.count("rating").alias("c"))
+    parts = [users.agg(F.sum("n").alias("total_ratings"), F.count(F.lit(1)).alias("total_users"),
+                       F.sum("s").alias("s"), F.sum("c").alias("c")),
              movies.agg(F.count(F.lit(1)).alias("total_movies"))]
     t = _sum_scalars(parts, ["total_ratings", "total_movies", "total_users", "s", "c"])
-    return t.select("total_ratings", "total_movies", "total_users",
+    return t.select(F.coalesce("total_ratings", F.lit(0)).alias("total_ratings"), "total_movies", "total_users",
                     round_half_up(F.col("s") / F.col("c"), 2).alias("avg_rating"))
 
 
@@ -228,8 +230,12 @@ def dataset_summary(ratings: DataFrame, movies: DataFrame, approximate: bool = F
     counts distinct users and movies with HyperLogLog++ (one pass, no
     shuffle of keys) for very large inputs.
     """
-    parts = [ratings.agg(F.count(F.lit(1)).alias("n_ratings")),
-             _n_distinct(ratings, "userId", "n_users", approximate),
+    if approximate:
+        rows = ratings.agg(F.count(F.lit(1)).alias("n_ratings"), F.approx_count_distinct("userId").alias("n_users"))
+    else:                               # the per-user pass also counts the rows
+        rows = user_activity(ratings).agg(F.coalesce(F.sum("rating_count"), F.lit(0)).alias("n_ratings"),
+                                          F.count(F.lit(1)).alias("n_users"))
+    parts = [rows,
              _n_distinct(ratings, "movieId", "n_rated", approximate),
              movies.agg(F.count(F.lit(1)).alias("n_movies"))]
     t = _sum_scalars(parts, ["n_ratings", "n_movies", "n_users", "n_rated"])

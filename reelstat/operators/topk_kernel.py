@@ -72,7 +72,7 @@ def best(lid: np.ndarray, lmat: np.ndarray, rid: np.ndarray, rmat: np.ndarray, k
 
 def pair_task(k: int, symmetric: bool, normalize: bool, exclude_self: bool, dtype):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        pa_, pb_ = key[0].as_py(), key[1].as_py()
+        pa_, pb_ = key[1].as_py(), key[2].as_py()
         role = table.column("role").to_numpy()
         ids = table.column("id").to_numpy()
         mat = matrix(table.column("v"), dtype)

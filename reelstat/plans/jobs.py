@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reelstat.operators import clean, recommend, stats
 from reelstat.plans import warehouse_sql
 from reelstat.session import join_path
-from reelstat.sources import files, materialize, register_external, schemas
+from reelstat.sources import cached, files, materialize, qualified, register_external, schemas
 
 
 def _out(base: str, name: str) -> str:
@@ -71,23 +71,19 @@ def chart_series(ratings: DataFrame, movies: DataFrame, model=None, train: DataF
 
 
 BOUNDED = {"rating_distribution", "popular_movies", "top_rated_movies", "genre_distribution",
-           "user_activity_stats", "year_ratings", "overall_summary"}
+           "user_activity_stats", "year_ratings", "overall_summary",
+           "rating_distribution_pct", "genre_avg", "year_production", "active_users", "movie_stats_top"}
 
 
 def analysis_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, out_dir: str,
                  fmt: str = "csv", min_count: int = 50) -> dict[str, str]:
     """Write every analysis to ``out_dir/<name>``; inputs are cached once for all of them."""
-    ratings = ratings.persist()
-    movies = movies.persist()
-    try:
-        paths = {}
+    paths = {}
+    with cached(ratings, movies):
         for name, df in analyses(ratings, movies, min_count).items():
             paths[name] = _out(out_dir, name)
             files.write_result(df, paths[name], fmt=fmt, single_file=name in BOUNDED)
-        return paths
-    finally:
-        ratings.unpersist()
-        movies.unpersist()
+    return paths
 
 
 def recommend_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, out_dir: str,
@@ -119,19 +115,24 @@ def warehouse_job(spark: SparkSession, ratings_dir: str, movies_dir: str, out_di
 
     ``table_dir`` places ``movie_stats`` at a fixed location: without
     ``refresh`` an existing table there is kept (CREATE TABLE IF NOT EXISTS,
-    also across sessions), with ``refresh`` it is rewritten.
+    also across sessions), with ``refresh`` it is rewritten.  The external tables are
+    registered anew for the given folders (dropping one keeps its files), and all
+    statements name them with their database, so no temporary view stands in for them.
     """
-    register_external(spark, "ratings_ext", ratings_dir, schemas.RATINGS_CLEAN, fmt=fmt)
-    register_external(spark, "movies_ext", movies_dir, schemas.MOVIES_CLEAN, fmt=fmt)
-    materialize(warehouse_sql.run(spark, "movie_stats"), "movie_stats",
+    register_external(spark, "ratings_ext", ratings_dir, schemas.RATINGS_CLEAN, fmt=fmt, replace=True)
+    register_external(spark, "movies_ext", movies_dir, schemas.MOVIES_CLEAN, fmt=fmt, replace=True)
+    tables = {"ratings": qualified(spark, "ratings_ext"), "movies": qualified(spark, "movies_ext")}
+    materialize(warehouse_sql.run(spark, "movie_stats", **tables), qualified(spark, "movie_stats"),
                 mode="overwrite" if refresh else "ignore", path=table_dir)
     names = ["rating_distribution_pct", "genre_avg", "year_production", "high_score",
              "active_users", "movie_stats_top"]
     results = {}
     for n in names:
         args = {k: v for k, v in params.items() if k in warehouse_sql.DEFAULTS.get(n, {})}
-        results[n] = warehouse_sql.run(spark, n, **args)
+        if n == "movie_stats_top":
+            args["table"] = qualified(spark, "movie_stats")
+        results[n] = warehouse_sql.run(spark, n, **tables, **args)
     if out_dir:
         for n, df in results.items():
-            files.write_result(df, _out(out_dir, n), single_file=True)
+            files.write_result(df, _out(out_dir, n), single_file=n in BOUNDED)
     return results

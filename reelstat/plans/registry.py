@@ -9,9 +9,9 @@ ratings each (with the defaults several results would be empty).
 
 from __future__ import annotations
 
-import os
-import re
+import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +20,10 @@ from reelstat.functions import hash_bucket_sql
 from reelstat.operators import clean, recommend, similarity, stats
 from reelstat.plans import warehouse_sql
 from reelstat.session import shared_dir
-from reelstat.sources import materialize, schemas, testdata, write_table
+from reelstat.sources import (
+    materialize, qualified, read_movies, read_movies_clean, read_ratings, read_ratings_clean, register_external,
+    schemas, testdata, write_table,
+)
 
 # Arguments used on the test tables (data-set defaults in brackets).
 TOP_RATED_MIN = 30          # [50]
@@ -29,6 +32,7 @@ HIGH_SCORE_MIN = 30         # [100]
 HIGH_SCORE_AVG = 3.0        # [4.0]
 STATS_TOP_MIN = 30          # [100]
 TOP_K = 5                   # recommendations / neighbours per entity
+FIRST_USERS = 10            # users of the subset form
 SPLIT_SEED, TRAIN_FRACTION = 42, 0.8
 GRID_REG_PARAMS = (0.01, 0.1, 1.0)   # the values compared by hand in the data set's study
 
@@ -41,14 +45,28 @@ _INPUTS: dict = {}
 _LOCK = threading.RLock()      # one ingest / one fit even if queries run in threads
 
 
+def _source(spark: SparkSession, sf_dir: str) -> str:
+    """A name for what a data folder holds now: its path and its files' sizes and times."""
+    seen = [sf_dir]
+    for name in ("lineitem", "orders", "part"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        path = system.resolvePath(path)
+        for file in system.listStatus(path):
+            seen.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:16]
+
+
 def ingest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(ratings, movies) cleaned from the test tables, as Parquet scans.
 
     The tables are written to the session's shared checkpoint folder (never a
     machine-local one on a cluster), which also cuts the lineage: a lost
-    executor re-reads files instead of recomputing the adapter join.
+    executor re-reads files instead of recomputing the adapter join.  The folder is
+    named by the sources' path, sizes and times, so folders that share their last
+    name, and sources that change, have inputs of their own.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, _source(spark, sf_dir))
     with _LOCK:
         if key not in _INPUTS:
             _write_inputs(spark, sf_dir, key)
@@ -58,22 +76,61 @@ def ingest(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _write_inputs(spark: SparkSession, sf_dir: str, key) -> None:
-    base = shared_dir(spark, "inputs/" + os.path.basename(sf_dir.rstrip("/")))
-    paths = {"ratings": f"{base}/ratings", "movies": f"{base}/movies"}
+    base = shared_dir(spark, f"inputs/{key[1]}-{uuid.uuid4().hex[:8]}")
+    paths = {"ratings": f"{base}/ratings", "movies": f"{base}/movies", "base": base}
     ratings = testdata.ratings(spark, sf_dir)
-    # A source of fewer files than cores (here one file, one row group) would
+    # A source of fewer splits than cores (here one file, one row group) would
     # leave every later scan and partial aggregate to one task: spread such
     # rows over one file per core (round-robin, deterministic under Spark's
-    # sort-before-repartition).  Many-file sources are written as they come,
-    # without an extra shuffle.
+    # sort-before-repartition).  Other sources are written as they come,
+    # without an extra shuffle.  Layout only: no result depends on it.
     cores = spark.sparkContext.defaultParallelism
-    if len(testdata.table(spark, sf_dir, "lineitem").inputFiles()) < cores:
+    if testdata.table(spark, sf_dir, "lineitem").rdd.getNumPartitions() < cores:
         ratings = ratings.repartition(cores)
     write_table(ratings, paths["ratings"])
     write_table(testdata.movies(spark, sf_dir), paths["movies"])
     _INPUTS[key] = paths
 
 
+def _csv_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The cleaned tables written as CSV and registered as external tables, and
+    ``movie_stats`` materialised from them; once per source, under names of their own."""
+    r, m = ingest(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, _source(spark, sf_dir))
+    with _LOCK:
+        paths = _INPUTS[key]
+        if "tables" not in paths:
+            tag, base = paths["base"].rsplit("/", 1)[-1].replace("-", "_"), paths["base"]
+            write_table(r, f"{base}/ratings_csv", fmt="csv")
+            write_table(m, f"{base}/movies_csv", fmt="csv")
+            register_external(spark, f"ratings_{tag}", f"{base}/ratings_csv", schemas.RATINGS_CLEAN)
+            register_external(spark, f"movies_{tag}", f"{base}/movies_csv", schemas.MOVIES_CLEAN)
+            tables = {"ratings": qualified(spark, f"ratings_{tag}"), "movies": qualified(spark, f"movies_{tag}")}
+            stats_table = qualified(spark, f"movie_stats_{tag}")
+            materialize(warehouse_sql.run(spark, "movie_stats", **tables), stats_table, path=f"{base}/movie_stats")
+            paths["tables"] = {**tables, "table": stats_table}
+    return paths["tables"]
+
+
+def _raw_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Raw events or movies written as the CSV that a user starts from; its folder."""
+    folder = shared_dir(spark, f"inputs/raw-{name}-{uuid.uuid4().hex[:8]}")
+    raw = testdata.raw_event_ratings if name == "ratings" else testdata.raw_movies
+    write_table(raw(spark, sf_dir), folder, fmt="csv")
+    return folder
+
+
+def _csv_clean(name: str) -> Query:
+    """Raw CSV -> clean -> CSV -> the cleaned rows read back."""
+    def q(spark, sf_dir):
+        read, tidy, back = ((read_ratings, clean.clean_ratings, read_ratings_clean) if name == "ratings" else
+                            (read_movies, clean.clean_movies, read_movies_clean))
+        folder = _raw_csv(spark, sf_dir, name)
+        write_table(tidy(read(spark, folder)), folder + "-clean", fmt="csv")
+        return back(spark, folder + "-clean")
+    return q
+
+
 def _rm(spark, sf_dir):
     return ingest(spark, sf_dir)
 
@@ -91,7 +148,7 @@ _MODELS: dict = {}
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, _source(spark, sf_dir))
     with _LOCK:
         if key not in _MODELS:
             _fit(spark, sf_dir, key)
@@ -103,28 +160,64 @@ def _fit(spark: SparkSession, sf_dir: str, key) -> None:
     _MODELS[key] = (recommend.fit_als(train), train, test)
 
 
+def _metrics(spark, sf_dir):
+    sizes = recommend.split_summary(_r(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    return recommend.als_metrics(*_fitted(spark, sf_dir), sizes=sizes)
+
+
+def _grid(spark, sf_dir):
+    model, train, test = _fitted(spark, sf_dir)
+    return recommend.als_grid(train, test, reg_params=GRID_REG_PARAMS, fitted={0.1: model})
+
+
 def _sql(name: str, **params) -> Query:
+    """A warehouse statement over the external CSV tables."""
     def q(spark, sf_dir):
-        r, m = _rm(spark, sf_dir)
-        with _LOCK:   # the views are session-wide; spark.sql binds them when it parses
-            return _run_sql(spark, sf_dir, r, m)
-
-    def _run_sql(spark, sf_dir, r, m):
-        warehouse_sql.register_views(r, m)
-        if name == "movie_stats_top":
-            # CTAS into the shared folder, then the read-back scans that table
-            table = "movie_stats_" + re.sub(r"\W", "_", os.path.basename(sf_dir.rstrip("/")))
-            materialize(warehouse_sql.run(spark, "movie_stats"), table, mode="overwrite",
-                        path=shared_dir(spark, "tables/" + table))
-            return warehouse_sql.run(spark, name, table=table, **params)
-        return warehouse_sql.run(spark, name, **params)
+        tables = _csv_tables(spark, sf_dir)
+        own = {k: v for k, v in tables.items() if (k == "table") == (name == "movie_stats_top")}
+        return warehouse_sql.run(spark, name, **own, **params)
     return q
 
 
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors as given factors: even ids are users, odd ids are movies."""
+    vectors = testdata.embeddings(spark, sf_dir)
+    return vectors.where("id % 2 = 0"), vectors.where("id % 2 = 1")
+
+
+def _vector_user_recs(spark, sf_dir):
+    users, items = _sides(spark, sf_dir)
+    return recommend.titled_recs(similarity.dot_top_k(users, items, TOP_K), _m(spark, sf_dir))
+
+
+def _vector_item_users(spark, sf_dir):
+    users, items = _sides(spark, sf_dir)
+    return recommend.named_users(similarity.dot_top_k(items, users, TOP_K))
+
+
+def _vector_similar_items(spark, sf_dir):
+    return recommend.titled_pairs(similarity.cosine_top_k(_sides(spark, sf_dir)[1], TOP_K), _m(spark, sf_dir))
+
+
+def _vector_recs_nested(spark, sf_dir):
+    """The first users' recommendations as arrays, exploded again."""
+    users, items = _sides(spark, sf_dir)
+    first = recommend._subset(users, FIRST_USERS, "userId")
+    flat = recommend.titled_recs(similarity.dot_top_k(first, items, TOP_K), _m(spark, sf_dir))
+    return recommend.explode_recs(recommend.recommendation_arrays(flat, "userId", "movieId"), "userId", "movieId")
+
+
+def _scored_rows(spark, sf_dir):
+    model, _, test = _fitted(spark, sf_dir)
+    return recommend.predict(model, test).drop("prediction")
+
+
 QUERIES: dict[str, Query] = {
     # cleaning
     "clean_ratings": lambda s, d: clean.clean_ratings(testdata.raw_event_ratings(s, d)),
     "clean_movies": lambda s, d: clean.clean_movies(testdata.raw_movies(s, d)),
+    "csv_clean_ratings": _csv_clean("ratings"),
+    "csv_clean_movies": _csv_clean("movies"),
     # totals and distributions
     "dataset_summary": lambda s, d: stats.dataset_summary(*_rm(s, d)),
     "rating_distribution": lambda s, d: stats.rating_distribution(_r(s, d)),
@@ -146,7 +239,7 @@ QUERIES: dict[str, Query] = {
     "movie_stats": lambda s, d: stats.movie_stats(*_rm(s, d)),
     "movie_stats_top": lambda s, d: stats.movie_stats_top(stats.movie_stats(*_rm(s, d)),
                                                           min_count=STATS_TOP_MIN),
-    # warehouse queries, SQL route
+    # warehouse queries, SQL route over external CSV tables
     "sql_rating_distribution_pct": _sql("rating_distribution_pct"),
     "sql_genre_avg": _sql("genre_avg", min_count=GENRE_AVG_MIN),
     "sql_year_production": _sql("year_production"),
@@ -160,12 +253,18 @@ QUERIES: dict[str, Query] = {
     "cold_start_summary": lambda s, d: recommend.cold_start_summary(
         *recommend.split_ratings(_r(s, d), TRAIN_FRACTION, SPLIT_SEED)),
     "similar_vectors": lambda s, d: similarity.similar_vectors(testdata.embeddings(s, d), TOP_K),
-    "als_metrics": lambda s, d: recommend.als_metrics(*_fitted(s, d)),
+    "vector_user_recs": _vector_user_recs,
+    "vector_item_users": _vector_item_users,
+    "vector_similar_items": _vector_similar_items,
+    "vector_recs_nested": _vector_recs_nested,
+    "als_metrics": _metrics,
+    "als_split_sizes": lambda s, d: _metrics(s, d).select("train_n", "test_n"),
+    "scored_rows": _scored_rows,
     "predictions": lambda s, d: recommend.predict(_fitted(s, d)[0], _fitted(s, d)[2]),
     "user_recs": lambda s, d: recommend.user_recs(_fitted(s, d)[0], _m(s, d), TOP_K),
     "item_users": lambda s, d: recommend.item_users(_fitted(s, d)[0], TOP_K),
     "similar_items": lambda s, d: recommend.similar_items(_fitted(s, d)[0], _m(s, d), TOP_K),
-    "als_grid": lambda s, d: recommend.als_grid(*_fitted(s, d)[1:], reg_params=GRID_REG_PARAMS),
+    "als_grid": _grid,
 }
 
 # ----------------------------------------------------------------------------- oracle (DuckDB)
@@ -198,7 +297,7 @@ PRELUDE = PRELUDE.replace(
 
 
 def R(x: str, scale: int = 2) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(20,8)), {scale}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,12)), {scale}) AS DOUBLE)"
 
 
 _MOVIE_STATS_SQL = f"""
@@ -211,6 +310,13 @@ _GENRE_TOP = """
   SELECT main_genre, COUNT(*) AS cnt FROM movies WHERE main_genre != '(no genres listed)'
   GROUP BY main_genre ORDER BY cnt DESC, main_genre LIMIT 10"""
 
+# Scored pairs of given vectors, ranked per left id (ties to the lower right id).
+_DOT = """
+, e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.id AS i, b.id AS j, list_inner_product(a.v, b.v) AS score
+      FROM e a JOIN e b ON a.id % 2 = 0 AND b.id % 2 = 1),
+q AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rk FROM p)"""
+
 _BODIES = {
     "clean_ratings": """
 SELECT CAST(user_id AS INT) AS userId, CAST(event_id % 100 AS INT) AS movieId, value AS rating,
@@ -290,6 +396,31 @@ k AS (SELECT COUNT(*) AS test_rows,
              COUNT(*) FILTER (WHERE userId IN (SELECT userId FROM tr)
                                 AND movieId IN (SELECT movieId FROM tr)) AS kept FROM te)
 SELECT test_rows, kept, test_rows - kept AS dropped FROM k""",
+    "scored_rows": """
+, tr AS (SELECT * FROM split WHERE train)
+SELECT userId, movieId, rating FROM split
+WHERE NOT train AND userId IN (SELECT userId FROM tr) AND movieId IN (SELECT movieId FROM tr)""",
+    "als_split_sizes": """
+SELECT COUNT(*) FILTER (WHERE train) AS train_n, COUNT(*) FILTER (WHERE NOT train) AS test_n FROM split""",
+    "vector_user_recs": f"""
+{_DOT}
+SELECT CAST(i AS INT) AS userId, CAST(rk AS INT) AS rank, CAST(j AS INT) AS movieId, title, {R('score')} AS predictedRating
+FROM q JOIN movies m ON m.movieId = j WHERE rk <= {TOP_K}""",
+    "vector_item_users": f"""
+{_DOT.replace("a.id % 2 = 0 AND b.id % 2 = 1", "a.id % 2 = 1 AND b.id % 2 = 0")}
+SELECT CAST(i AS INT) AS movieId, CAST(rk AS INT) AS rank, CAST(j AS INT) AS userId, {R('score')} AS predictedRating
+FROM q WHERE rk <= {TOP_K}""",
+    "vector_similar_items": f"""
+{_DOT.replace("list_inner_product", "list_cosine_similarity").replace("a.id % 2 = 0 AND b.id % 2 = 1", "a.id % 2 = 1 AND b.id % 2 = 1 AND a.id <> b.id")}
+SELECT CAST(i AS INT) AS origMovieId, x.title AS origTitle, CAST(rk AS INT) AS rank, CAST(j AS INT) AS similarMovieId,
+       y.title AS similarTitle, {R('score')} AS similarityScore
+FROM q JOIN movies x ON x.movieId = i JOIN movies y ON y.movieId = j WHERE rk <= {TOP_K}""",
+    "vector_recs_nested": f"""
+{_DOT}
+, u AS (SELECT vec_id AS id FROM embeddings WHERE vec_id % 2 = 0 ORDER BY vec_id LIMIT {FIRST_USERS})
+SELECT CAST(i AS INT) AS userId, CAST(row_number() OVER (PARTITION BY i ORDER BY rk) AS INT) AS rank, CAST(j AS INT) AS movieId,
+       CAST(CAST({R('score')} AS FLOAT) AS DOUBLE) AS predictedRating
+FROM q JOIN movies m ON m.movieId = j WHERE rk <= {TOP_K} AND i IN (SELECT id FROM u)""",
     "similar_vectors": f"""
 , e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 p AS (SELECT a.id AS i, b.id AS j, list_cosine_similarity(a.v, b.v) AS score
@@ -302,6 +433,9 @@ SELECT i, j, {R('score', 4)} AS score FROM q WHERE rk <= {TOP_K}""",
 for _n in ("rating_distribution_pct", "genre_avg", "year_production", "high_score",
            "active_users", "movie_stats", "movie_stats_top"):
     _BODIES["sql_" + _n] = _BODIES[_n]
+# So must the route over CSV files.
+for _n in ("clean_ratings", "clean_movies"):
+    _BODIES["csv_" + _n] = _BODIES[_n]
 
 
 def oracle(name: str) -> str:

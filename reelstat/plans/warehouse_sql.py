@@ -1,10 +1,11 @@
 """The warehouse route: the analysis queries as Spark SQL over catalog tables.
 
 ``ratings_ext`` (userId, movieId, rating, date) and ``movies_ext`` (movieId,
-title, year, genres, main_genre) are catalog tables or views - external CSV
-tables from ``register_external`` or temp views over DataFrames.  The SQL
+title, year, genres, main_genre), or the tables named by the parameters ``ratings``
+and ``movies``, are catalog tables - external CSV tables from ``register_external`` -
+or views.  The SQL
 aggregates ratings per movie before joining the catalogue (the same plan
-as the DataFrame operators), rounds means half-up through decimal(20,8) and
+as the DataFrame operators), rounds means half-up through decimal(38,12) and
 ends every ORDER BY .. LIMIT with the entity key.
 """
 
@@ -12,23 +13,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_R2 = "CAST(ROUND(CAST({} AS DECIMAL(20,8)), 2) AS DOUBLE)"
+_R2 = "CAST(ROUND(CAST({} AS DECIMAL(38,12)), 2) AS DOUBLE)"
 
 PER_MOVIE = """
   SELECT movieId, COUNT(rating) AS n, SUM(rating) AS s, MIN(rating) AS lo, MAX(rating) AS hi
-  FROM ratings_ext GROUP BY movieId"""
+  FROM {ratings} GROUP BY movieId"""
 
 STATEMENTS = {
     "rating_distribution_pct": f"""
 SELECT rating, COUNT(*) AS cnt,
        {_R2.format("COUNT(*) * CAST(100 AS DOUBLE) / SUM(COUNT(*)) OVER ()")} AS percentage
-FROM ratings_ext GROUP BY rating ORDER BY rating DESC""",
+FROM {{ratings}} GROUP BY rating ORDER BY rating DESC""",
 
     "genre_avg": f"""
 WITH pm AS ({PER_MOVIE})
 SELECT m.main_genre, COUNT(*) AS movie_count, SUM(pm.n) AS rating_count,
        {_R2.format("SUM(pm.s) / SUM(pm.n)")} AS avg_rating
-FROM pm JOIN movies_ext m ON pm.movieId = m.movieId
+FROM pm JOIN {{movies}} m ON pm.movieId = m.movieId
 WHERE m.main_genre != '(no genres listed)'
 GROUP BY m.main_genre
 HAVING SUM(pm.n) >= {{min_count}}
@@ -39,7 +40,7 @@ LIMIT {{n}}""",
 WITH pm AS ({PER_MOVIE})
 SELECT m.`year`, COUNT(*) AS movie_count, SUM(pm.n) AS rating_count,
        {_R2.format("SUM(pm.s) / SUM(pm.n)")} AS avg_rating
-FROM pm JOIN movies_ext m ON pm.movieId = m.movieId
+FROM pm JOIN {{movies}} m ON pm.movieId = m.movieId
 WHERE m.`year` IS NOT NULL AND m.`year` != ''
 GROUP BY m.`year`
 ORDER BY m.`year` DESC
@@ -49,7 +50,7 @@ LIMIT {{n}}""",
 WITH pm AS ({PER_MOVIE})
 SELECT m.movieId, m.title, m.main_genre, pm.n AS rating_count,
        {_R2.format("pm.s / pm.n")} AS avg_rating
-FROM pm JOIN movies_ext m ON pm.movieId = m.movieId
+FROM pm JOIN {{movies}} m ON pm.movieId = m.movieId
 WHERE pm.n >= {{min_count}} AND pm.s / pm.n >= {{min_avg}}
 ORDER BY avg_rating DESC, rating_count DESC, m.movieId""",
 
@@ -57,7 +58,7 @@ ORDER BY avg_rating DESC, rating_count DESC, m.movieId""",
 SELECT userId, COUNT(rating) AS rating_count,
        {_R2.format("AVG(rating)")} AS avg_user_rating,
        COUNT(DISTINCT movieId) AS movie_variety
-FROM ratings_ext
+FROM {{ratings}}
 GROUP BY userId
 ORDER BY rating_count DESC, userId
 LIMIT {{n}}""",
@@ -66,7 +67,7 @@ LIMIT {{n}}""",
 WITH pm AS ({PER_MOVIE})
 SELECT m.movieId, m.title, m.main_genre, pm.n AS rating_cnt,
        {_R2.format("pm.s / pm.n")} AS avg_rating, pm.lo AS min_rating, pm.hi AS max_rating
-FROM pm JOIN movies_ext m ON pm.movieId = m.movieId""",
+FROM pm JOIN {{movies}} m ON pm.movieId = m.movieId""",
 
     "movie_stats_top": """
 SELECT * FROM {table} WHERE rating_cnt >= {min_count} ORDER BY avg_rating DESC, movieId LIMIT {n}""",
@@ -82,18 +83,18 @@ DEFAULTS = {
 
 
 def statement(name: str, **params) -> str:
-    args = {**DEFAULTS.get(name, {}), **params}
+    args = {"ratings": "ratings_ext", "movies": "movies_ext", **DEFAULTS.get(name, {}), **params}
     return STATEMENTS[name].format(**{k: repr(v) if isinstance(v, float) else v for k, v in args.items()})
 
 
 def register_views(ratings: DataFrame, movies: DataFrame) -> None:
-    """Expose DataFrames under the warehouse table names (session-scoped views)."""
+    """Expose DataFrames as session-wide temporary views under the default table names."""
     ratings.createOrReplaceTempView("ratings_ext")
     movies.createOrReplaceTempView("movies_ext")
 
 
 def run(spark: SparkSession, name: str, **params) -> DataFrame:
-    """Run one warehouse statement against the current ``*_ext`` tables.
+    """Run one warehouse statement.
 
     ``movie_stats_top`` reads the table named by ``table`` (default
     ``movie_stats``; ``materialize`` it first).

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,21 +17,47 @@ def _quote(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Where a catalog table's files lie; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def qualified(spark: SparkSession, name: str) -> str:
+    """The name with its database, which no temporary view can hide."""
+    return name if "." in name else f"spark_catalog.{spark.catalog.currentDatabase()}.{name}"
+
+
+def _same_place(a: str, b: str) -> bool:
+    plain = lambda p: re.sub(r"^file:/+", "/", p).rstrip("/")
+    return plain(a) == plain(b)
+
+
 def register_external(spark: SparkSession, name: str, path: str, schema: StructType,
                       fmt: str = "csv", replace: bool = False) -> DataFrame:
     """Register an external table over a directory of files.
 
     Dropping the table keeps the files.  CSV tables use a header and ``"`` as
-    escape, so titles with commas and quotes stay in their column.
+    escape, so titles with commas and quotes stay in their column.  A table of that
+    name at another place is an error, or with ``replace`` is registered anew.  The
+    scan returned is of the table even where a temporary view has its name.
     """
     path = absolute(path)                # LOCATION would resolve against the warehouse folder
+    name = qualified(spark, name)
+    known = table_location(spark, name)
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    elif known is not None and not _same_place(known, path):
+        raise ValueError(f"table {name} already lies at {known}, not at {path}")
     opts = ""
     if fmt == "csv":
-        opts = "OPTIONS (header 'true', quote '\"', escape '\"', mode 'FAILFAST')"
+        opts = "OPTIONS (header 'true', quote '\"', escape '\"', nullValue '\x01', mode 'FAILFAST')"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING {fmt} {opts} "
               f"LOCATION {_quote(path)}")
+    if known is not None:
+        spark.catalog.refreshTable(name)          # files may have come or gone since
     return spark.table(name)
 
 
@@ -57,11 +84,13 @@ def materialize(df: DataFrame, name: str, mode: str = "ignore", fmt: str = "parq
 
 @contextlib.contextmanager
 def cached(*dfs: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Persist inputs shared by several actions; unpersist on exit."""
-    for d in dfs:
+    """Persist inputs shared by several actions; on exit unpersist those that were not
+    already persisted by the caller."""
+    own = [d for d in dfs if not (d.storageLevel.useMemory or d.storageLevel.useDisk)]
+    for d in own:
         d.persist(level)
     try:
         yield dfs if len(dfs) > 1 else dfs[0]
     finally:
-        for d in dfs:
+        for d in own:
             d.unpersist()

@@ -14,6 +14,9 @@ from pyspark.sql.types import StructType
 from reelstat.sources import schemas
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# On reading, a quoted empty field is the empty string and a bare one is null;
+# Spark would make both null while its null text is the empty one.
+NO_NULL_TEXT = "\x01"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType,
@@ -23,7 +26,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
     ``mode='FAILFAST'`` aborts on a malformed record (a rating that is not a
     number), ``'DROPMALFORMED'`` drops it, ``'PERMISSIVE'`` nulls it.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", mode).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS).options(nullValue=NO_NULL_TEXT, mode=mode).csv(path)
 
 
 def read_ratings(spark, path, mode="FAILFAST"):

@@ -34,40 +34,6 @@ MOVIES_CLEAN = T.StructType([
     T.StructField("main_genre", T.StringType()),
 ])
 
-# Documented by the source data set but read by no operator.
-TAGS = T.StructType([
-    T.StructField("userId", T.IntegerType()),
-    T.StructField("movieId", T.IntegerType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("timestamp", T.LongType()),
-])
-
-LINKS = T.StructType([
-    T.StructField("movieId", T.IntegerType()),
-    T.StructField("imdbId", T.StringType()),
-    T.StructField("tmdbId", T.StringType()),
-])
-
-MOVIE_STATS = T.StructType([
-    T.StructField("movieId", T.IntegerType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("main_genre", T.StringType()),
-    T.StructField("rating_cnt", T.LongType()),
-    T.StructField("avg_rating", T.DoubleType()),
-    T.StructField("min_rating", T.DoubleType()),
-    T.StructField("max_rating", T.DoubleType()),
-])
-
-BY_NAME = {
-    "ratings": RATINGS_RAW,
-    "ratings_clean": RATINGS_CLEAN,
-    "movies": MOVIES_RAW,
-    "movies_clean": MOVIES_CLEAN,
-    "tags": TAGS,
-    "links": LINKS,
-    "movie_stats": MOVIE_STATS,
-}
-
 
 def ddl(schema: T.StructType) -> str:
     """Column list for CREATE TABLE, e.g. ``userId INT, movieId INT``."""

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = "part orders lineitem events embeddings".split()
+TABLES = "part orders lineitem events embeddings documents pages labels".split()
 
 
 def test_entry_smoke(spark):
