@@ -9,11 +9,12 @@ MISS.  Survivors are verified exactly on their full sets, and links are joined t
 components.
 
 Nothing emits all pairs of a bucket.  First every member of a bucket is compared with
-the bucket's smallest member (as many pairs as rows); the links found already join a
-large group of near copies to one component.  Then, in buckets that still hold several
-components, members of different components are compared, in block pairs of bounded size
-inside tasks that emit only what passes the signatures.  Pairs within a component need
-no comparison, so the components are those of all candidate links.
+the bucket's pivot (as many pairs as rows); the links found already join a large group of
+near copies to one component.  Then, in buckets that still hold several components,
+members of different components are compared, in block pairs of bounded size: first by
+signatures, which leaves the members with a pair to verify, then these on their full sets,
+likeliest pairs first, and only links that join components are emitted.  Pairs within a
+component need no comparison, so the components are those of all candidate links.
 
 With BANDS bands of ROWS rows a pair at the threshold 0.85 shares no band with
 probability (1 - 0.85**5)**24 = 8e-7; MISS adds 1e-6.
@@ -37,6 +38,8 @@ BANDS, ROWS = 24, 5
 BATCH, MISS = 24, 1e-6
 #: Members of a bucket that one side of a block pair holds.
 BLOCK_MEMBERS = 1024
+#: Shingles of all sets that one side of a block pair holds.
+BLOCK_SHINGLES = 4_000_000
 #: Members of small buckets that one task call looks at.
 TASK_MEMBERS = 20_000
 SEED = 20240229
@@ -141,14 +144,16 @@ def _pruned(threshold: float):
     return run
 
 
+def _alike(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= percent * (len(left) + len(right) - both)
+
+
 def _verified(percent: int):
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left"), batch.column("right")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [_alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                    for x, y in zip(batch.column("left"), batch.column("right"))]
             yield pa.RecordBatch.from_pydict({"a": batch.column("a").filter(pa.array(keep, pa.bool_())),
                                               "b": batch.column("b").filter(pa.array(keep, pa.bool_()))})
     return run
@@ -195,44 +200,79 @@ def _bands(batches):
         yield pa.RecordBatch.from_pydict({"id": np.repeat(batch.column("id").to_numpy(), BANDS), "key": keys.reshape(-1)})
 
 
-def _cross(threshold: float):
-    """Buckets, or block pairs of one, -> the pairs of different components that pass
-    the signatures.  A pair is looked at in the first band that it shares only."""
+def _segments(t: pa.Table, threshold: float):
+    """Buckets, or block pairs of one -> (rows a, rows b, matching signature values) of the
+    pairs of different components that no batch prunes.  A pair is looked at only in
+    the first band that it shares."""
+    ids, of, side, keys = (t.column(c).to_numpy() for c in ("id", "component", "side", "key"))
+    sign = _signatures(t.column("signature"))
+    bands = sign.reshape(len(sign), BANDS, ROWS)
+    for at in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(keys)) + 1):
+        own = next(b for b in range(BANDS) if _band_key(bands[at[0], b], b) == keys[at[0]])
+        first, second, found = at[side[at] != 1], at[side[at] != 0], []
+        for i in first:
+            others = second[(of[second] != of[i]) & ((side[i] != 2) | (ids[second] > ids[i]))]
+            if own and len(others):
+                others = others[~(bands[others, :own] == bands[i, :own]).all(axis=2).any(axis=1)]
+            if len(others):
+                others = others[survives(np.broadcast_to(sign[i], (len(others), sign.shape[1])), sign[others], threshold)]
+                found.append(np.stack([np.full(len(others), i), others, (sign[others] == sign[i]).sum(axis=1)]))
+        if found:
+            yield np.concatenate(found, axis=1)
+
+
+def _doubtful(threshold: float):
+    """The members that have a pair to verify."""
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("key")
+        rows = [np.unique(p[:2]) for p in _segments(t, threshold)]
+        return t.take(pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))).select(["deal", "x", "y", "key", "id"])
+    return run
+
+
+def _forest(threshold: float, percent: int):
+    """Verify a block's pairs on full sets, the likeliest first, and emit links that join
+    components only: fewer than members, however many pairs there are."""
 
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("key")
-        ids, of, side = (t.column(c).to_numpy() for c in ("id", "component", "side"))
-        sign, keys, found = _signatures(t.column("signature")), t.column("key").to_numpy(), []
-        bands = sign.reshape(len(sign), BANDS, ROWS)
-        for at in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(keys)) + 1):
-            own = next(b for b in range(BANDS) if _band_key(bands[at[0], b], b) == keys[at[0]])
-            first, second = at[side[at] != 1], at[side[at] != 0]
-            for i in first:
-                others = second[(of[second] != of[i]) & ((side[i] != 2) | (ids[second] > ids[i]))]
-                if own and len(others):
-                    others = others[~(bands[others, :own] == bands[i, :own]).all(axis=2).any(axis=1)]
-                if len(others):
-                    alive = others[survives(np.broadcast_to(sign[i], (len(others), sign.shape[1])), sign[others], threshold)]
-                    found.extend((min(ids[i], ids[j]), max(ids[i], ids[j])) for j in alive)
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+        ids, of = t.column("id").to_pylist(), t.column("component").to_pylist()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("shingles")]
+        up: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while up.get(x, x) != x:
+                up[x] = x = up.get(up[x], up[x])
+            return x
+
+        links = []
+        for pairs in _segments(t, threshold):
+            for i, j, _ in pairs[:, np.argsort(-pairs[2], kind="stable")].T.tolist():
+                x, y = root(of[i]), root(of[j])
+                if x != y and _alike(sets[i], sets[j], percent):
+                    up[max(x, y)] = min(x, y)
+                    links.append((ids[i], ids[j]))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
     return run
 
 
-def _cross_candidates(members: DataFrame, signs: DataFrame, threshold: float) -> DataFrame:
-    """members: (key, id, component) of the open buckets.  A bucket of n members has
-    ceil(n / BLOCK_MEMBERS) blocks, and a member is sent once to each pair of blocks
-    that its block is in; small buckets share a task call."""
-    sizes = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "minhash-sizes")
-    total = sizes.agg(F.sum("size")).first()[0] or 0
-    dealt = members.join(sizes, "key").withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK_MEMBERS))).withColumn(
+def _blocks(members: DataFrame) -> DataFrame:
+    """members: (key, id, component, shingle_count) of the open buckets.  A bucket is cut into
+    blocks of bounded members and bounded total set size, and a member is sent once to
+    each pair of blocks that its block is in; small buckets share a task call."""
+    sizes = stored(members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("shingle_count").alias("load")),
+                   "minhash-sizes").withColumn("blocks", F.greatest(
+                       F.ceil(F.col("size") / F.lit(BLOCK_MEMBERS)), F.ceil(F.col("load") / F.lit(BLOCK_SHINGLES))))
+    size, load = sizes.agg(F.sum("size"), F.sum("load")).first()
+    calls = max(1, -(-(size or 0) // TASK_MEMBERS), -(-(load or 0) // BLOCK_SHINGLES))
+    dealt = members.join(sizes.drop("size", "load"), "key").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    alone = F.col("blocks") == 1
-    sided = dealt.select(
+    return dealt.select(
         "key", "id", "component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        F.when(alone, F.pmod(F.col("key"), F.lit(max(1, -(-total // TASK_MEMBERS))))).otherwise(F.col("key")).alias("deal"),
+        F.when(F.col("blocks") == 1, F.pmod(F.col("key"), F.lit(calls))).otherwise(F.col("key")).alias("deal"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
-    return sided.join(signs, "id").groupBy("deal", "x", "y").applyInArrow(_cross(threshold), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -252,16 +292,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "minhash-signed")
     # equal sets are one class; its number is a hash of the set, its document the smallest
     classes = stored(signed.where("doc_id IS NOT NULL AND same IS NOT NULL").groupBy("same").agg(
-        F.min(F.struct("doc_id", "signature")).alias("of")).select(
-        F.xxhash64("same").alias("id"), "same", F.col("of.doc_id").alias("first"), F.col("of.signature").alias("signature")),
-        "minhash-classes")
+        F.min(F.struct("doc_id", "signature", "n_shingles")).alias("of")).select(
+        F.xxhash64("same").alias("id"), "same", F.col("of.doc_id").alias("first"), F.col("of.signature").alias("signature"),
+        F.col("of.n_shingles").alias("shingle_count")), "minhash-classes")
     signs = classes.select("id", "signature")
 
     bands = stored(signs.mapInArrow(_bands, "id long, key long"), "minhash-bands")
-    pivots = stored(bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members"))
-                    .where("members > 1"), "minhash-pivots")
-    shared = stored(bands.join(pivots, "key").select("key", "id", "pivot"), "minhash-shared")
-    stars = shared.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    sizes = stored(bands.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "minhash-buckets")
+    shared = stored(bands.join(sizes, "key"), "minhash-shared")
+    # the pivot of a bucket is the member that meets most others over all bands: of a
+    # text and its variants mostly the text, which is linked where two variants are not
+    weight = stored(shared.groupBy("id").agg(F.sum("members").alias("weight")), "minhash-weights")
+    pivots = stored(shared.select("key", "id").join(weight, "id").groupBy("key").agg(
+        F.max(F.struct("weight", "id"))["id"].alias("pivot")), "minhash-pivots")
+    stars = shared.select("key", "id").join(pivots, "key").where("id <> pivot").select(
+        F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
 
     def pruned(pairs: DataFrame) -> DataFrame:
         left = signs.select(F.col("id").alias("a"), F.col("signature").alias("left"))
@@ -269,29 +314,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
             _pruned(threshold), "a long, b long")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Exact similarity on the full sets, taken again from the texts of the pairs' documents."""
-        pairs = stored(pairs, "minhash-pairs")
-        wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(
-            classes.select("id", "same", "first"), "id"), "minhash-wanted")
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The full sets of some classes, taken again from the texts of their documents."""
+        wanted = stored(ids.distinct().join(classes.select("id", "same", "first"), "id"), "minhash-wanted")
         texts = rows.join(wanted.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-        sets = stored(texts.mapInArrow(_sets(words), "same binary, shingles binary").join(
+        return stored(texts.mapInArrow(_sets(words), "same binary, shingles binary").join(
             wanted.select("id", "same"), "same").dropDuplicates(["id"]).select("id", "shingles"), "minhash-sets")
-        left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-        return stored(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
-            _verified(percent), "a long, b long"), "minhash-links")
 
-    links = linked(pruned(stars))
+    pairs = stored(pruned(stars), "minhash-pairs")
+    sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
+    links = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
+        _verified(percent), "a long, b long"), "minhash-links")
     labels = components(links)
 
     # buckets that still hold several components: compare across them
-    labelled = stored(shared.join(labels, "id", "left").select(
+    labelled = stored(shared.select("key", "id").join(labels, "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("component")), "minhash-labelled")
     open_keys = stored(labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                        .where("x < y").select("key"), "minhash-open")
-    more = linked(_cross_candidates(labelled.join(open_keys, "key"), signs, threshold).distinct())
-    if more.limit(1).count():
+    blocks = stored(_blocks(labelled.join(open_keys, "key").join(classes.select("id", "shingle_count"), "id")),
+                    "minhash-blocks")
+    doubtful = stored(blocks.join(signs, "id").groupBy("deal", "x", "y").applyInArrow(
+        _doubtful(threshold), "deal long, x long, y long, key long, id long"), "minhash-doubtful")
+    if doubtful.limit(1).count():
+        full = blocks.join(doubtful, ["deal", "x", "y", "key", "id"], "left_semi").join(signs, "id").join(
+            sets_of(doubtful.select("id")), "id")
+        more = stored(full.groupBy("deal", "x", "y").applyInArrow(_forest(threshold, percent), "a long, b long"), "minhash-links")
         labels = components(links.unionByName(more))
 
     of = classes.select("id", "same", "first").join(labels, "id", "left").withColumn(
