@@ -144,23 +144,34 @@ def _merge(asked: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, schema=_schema(ANSWER))
 
 
-def _looked_up(row: dict, answers: pa.Table, order: int, retained: bool) -> list[np.ndarray]:
-    """Corpus counts for every entry of ``_keys``: of all training documents, or
-    without the deleted fold."""
+def _looked_up(row: dict, answers: pa.Table, order: int, retained: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Corpus counts (of all training documents, or without the deleted fold) of the
+    distinct entries of every ``_keys`` array, and each token's place among them."""
     by = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
     counts = np.concatenate([unpack(r["train"], np.uint64) for r in by])
     if retained:
         counts = counts - np.concatenate([unpack(r["tuned"], np.uint64) for r in by])
-    sets = [np.unique(k, return_inverse=True) for k in _keys(row, order)]
+    keys, sets = _keys(row, order)[::-1], []
+    while keys:
+        distinct, inverse = np.unique(keys.pop(), return_inverse=True)
+        sets.append((distinct, inverse.astype(np.int32)))
     rank = np.empty(len(counts), np.int64)
     rank[np.argsort(np.concatenate([s for s, _ in sets]), kind="stable")] = np.arange(len(counts))
     out, at = [], 0
     for distinct, inverse in sets:
-        out.append(counts[rank[at:at + len(distinct)]][inverse].astype(np.float64))
+        out.append((counts[rank[at:at + len(distinct)]].astype(np.float64), inverse))
         at += len(distinct)
     return out
 
 
+def _slices(looked_up: list[tuple[np.ndarray, np.ndarray]], size: int = 1 << 19):
+    """(start, end, counts of every array) for runs of tokens, so that the arrays of
+    estimates stay small."""
+    total = len(looked_up[0][1])
+    for a in range(0, total, size):
+        yield a, min(total, a + size), [values[inverse[a:a + size]] for values, inverse in looked_up]
+
+
 def _estimates(counts: list[np.ndarray], tokens: float) -> tuple[np.ndarray, np.ndarray]:
     """Maximum-likelihood estimates of all orders (an unseen context gives 0), and the
     context bucket: the longest seen context's order and the power of two of its count."""
@@ -180,11 +191,13 @@ def _histogram(order: int, tokens: float, floor: float):
         names = ["bucket", *(f"r{n}" for n in range(order)), "events"]
         if not state.num_rows or not answers.num_rows:
             return pa.schema([(x, pa.int64()) for x in names]).empty_table()
-        p, bucket = _estimates(_looked_up(state.to_pylist()[0], answers, order, True), tokens)
-        with np.errstate(divide="ignore"):
-            cells = np.where(p > 0, np.round(np.log(p / floor) / CELL), -1_000_000).astype(np.int64)
-        rows, events = np.unique(np.concatenate([bucket[None], cells]).T, axis=0, return_counts=True)
-        return pa.table([*map(pa.array, rows.T), pa.array(events)], names=names)
+        parts = []
+        for _, _, counts in _slices(_looked_up(state.to_pylist()[0], answers, order, True)):
+            p, bucket = _estimates(counts, tokens)
+            with np.errstate(divide="ignore"):
+                cells = np.where(p > 0, np.round(np.log(p / floor) / CELL), -1_000_000).astype(np.int64)
+            parts.append(np.column_stack(np.unique(np.concatenate([bucket[None], cells]).T, axis=0, return_counts=True)))
+        return pa.table([*map(pa.array, np.concatenate(parts).T)], names=names)
     return run
 
 
@@ -208,33 +221,32 @@ def _weights(cells: np.ndarray, order: int) -> dict[int, np.ndarray]:
 
 
 def _score(order: int, tokens: int, words: int, weights: dict[int, np.ndarray]):
-    default = weights.get(-1, np.full(order + 1, 1.0 / (order + 1)))
-
     def run(state: pa.Table, answers: pa.Table) -> pa.Table:
         if not state.num_rows:
             return _schema(SCORED).empty_table()
-        row = state.to_pylist()[0]
-        counts = _looked_up(row, answers, order, False)
-        p, bucket = _estimates(counts, float(tokens))
         # buckets that the held-out fold never met take the weights of the nearest one it met
-        table = np.tile(default, (64 * order + 64, 1))
+        table = np.tile(np.full(order + 1, 1.0 / (order + 1)), (64 * order + 64, 1))
         for b in range(len(table)):
-            near = min((k for k in weights if k >= 0), key=lambda k: (k // 64 != b // 64, abs(k - b)), default=None)
+            near = min(weights, key=lambda k: (k // 64 != b // 64, abs(k - b)), default=None)
             if near is not None:
                 table[b] = weights[near]
-        mix = table[bucket]
-        like = mix[:, 0] / (words + 1) + (mix[:, 1:] * p.T).sum(axis=1)
-        # where the longest context is unseen, what its order would get goes to the rest
-        seen = np.concatenate([[np.ones(len(bucket), bool), np.full(len(bucket), tokens > 0)],
-                               [c > 0 for c in counts[2::2]]])
-        like /= np.maximum((mix.T * seen).sum(axis=0), 1e-300)
-        base = np.log10((counts[0] + 1) / (tokens + words + 1))
+        row = state.to_pylist()[0]
         sizes = unpack(row["sizes"], np.int64)
+        base, score, known = np.empty(sizes.sum()), np.empty(sizes.sum()), np.empty(sizes.sum(), bool)
+        for a, b, counts in _slices(_looked_up(row, answers, order, False)):
+            p, bucket = _estimates(counts, float(tokens))
+            mix = table[bucket].T
+            like = mix[0] / (words + 1) + (mix[1:] * p).sum(axis=0)
+            # where the longest context is unseen, what its order would get goes to the rest
+            seen = np.stack([np.ones(b - a, bool), np.full(b - a, tokens > 0), *(c > 0 for c in counts[2::2])])
+            score[a:b] = np.log10(like / (mix * seen).sum(axis=0))
+            base[a:b] = np.log10((counts[0] + 1) / (tokens + words + 1))
+            known[a:b] = counts[0] > 0
         add = lambda x: np.add.reduceat(x, spans(sizes)[:-1])
         return pa.table({
             "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array([not x for x in row["trains"]]),
-            "n_tokens": pa.array(sizes), "n_known": pa.array(add((counts[0] > 0).astype(np.int64))),
-            "base_score": pa.array(add(base)), "score": pa.array(add(np.log10(like)))})
+            "n_tokens": pa.array(sizes), "n_known": pa.array(add(known.astype(np.int64))),
+            "base_score": pa.array(add(base)), "score": pa.array(add(score))})
     return run
 
 
