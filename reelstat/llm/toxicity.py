@@ -59,7 +59,7 @@ class Model:
     """Weights of subsequences, the bias, and Platt's slope and offset.  Without both
     classes among the labels the score is their rate (0.5 without labels)."""
 
-    table: np.ndarray = field(default_factory=lambda: np.zeros(1, np.float32))
+    table: np.ndarray = field(default_factory=lambda: np.zeros(SYMBOLS ** 3, np.float32))
     bias: float = 0.0
     slope: float = 0.0
     offset: float = 0.0
