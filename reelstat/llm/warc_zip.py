@@ -195,7 +195,7 @@ def _ranges(folder: str, range_bytes: int):
                         lines = read_at(member_data(read_at, at), length).decode().splitlines()
                         places = [(x["offset"], x["length"]) for x in map(json.loads, lines)]
                     else:
-                        places = _scan(read_at, data, size)
+                        places = list(_scan(read_at, data, size))
                 rows, start, lengths, total = [], 0, [], 0
                 for offset, length in places:
                     if lengths and (total + length > range_bytes or offset != start + total):
