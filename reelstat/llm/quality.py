@@ -23,7 +23,7 @@ from reelstat.llm.common import SPACE, text_of
 #: Cells of the hashed multinomials, and the count added to each.
 BUCKETS, SMOOTHING = 1 << 15, 1.0
 #: Least mean log ratio of a kept document.
-THRESHOLD = -0.25
+THRESHOLD = -0.75
 #: Words of the windows whose repetition is counted.
 WINDOW = 8
 
