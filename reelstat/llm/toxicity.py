@@ -45,7 +45,9 @@ LANDMARKS = 192
 #: covered by overlapping windows.
 SPAN, WINDOW, DECAY = 5, 24, 0.5
 #: Share of the first list of insults that chance may explain.
-CHANCE = 0.05
+CHANCE = 0.02
+#: Share of the clean units that may score above a unit that joins the insults later.
+CLEAN_ABOVE = 0.0005
 #: Characters fold into so many symbols; the table has SYMBOLS ** 3 weights.
 SYMBOLS = 97
 MARGIN = "__margin"
@@ -200,7 +202,9 @@ def platt(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def _sentence_units(batches):
-    """Labelled texts -> (sentence, unit, toxic); equal sentences have equal numbers."""
+    """Labelled texts -> (context, unit, toxic): every unit of every sentence with a
+    number for its neighbours.  Copies and near copies of a sentence have the same
+    neighbours nearly everywhere, an insult has others each time."""
     for batch in batches:
         sentences, toxic = [], []
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
@@ -208,9 +212,12 @@ def _sentence_units(batches):
             sentences.extend(own)
             toxic.extend([label] * len(own))
         units, owner = unit_lists(pa.array(sentences, pa.large_string()))
-        number = np.array([xxhash.xxh3_64_intdigest(s) for s in sentences], np.uint64).view(np.int64)
+        words = units.to_pylist()
+        near = lambda i, j: words[j] if 0 <= j < len(words) and owner[j] == owner[i] else ""
+        number = np.fromiter((xxhash.xxh3_64_intdigest(f"{near(i, i - 1)} {near(i, i + 1)}") for i in range(len(words))),
+                             np.uint64, len(words)).view(np.int64)
         yield pa.RecordBatch.from_pydict({
-            "sentence": number[owner], "unit": units.cast(pa.string()), "toxic": np.array(toxic, np.int32)[owner]})
+            "context": number, "unit": units.cast(pa.string()), "toxic": np.array(toxic, np.int32)[owner]})
 
 
 def _unit_margins(model):
@@ -250,6 +257,17 @@ def score_of(model: Model) -> Column:
     return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), line))))
 
 
+def _least(counted: DataFrame) -> int:
+    """How often an item of toxic sentences alone must occur so that at most CHANCE of such
+    items would be expected if the items fell on toxic and clean sentences at random."""
+    toxic, clean = counted.agg(F.coalesce(F.sum("p"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    by_times = counted.groupBy((F.col("p") + F.col("n")).alias("times")).agg(
+        F.count(F.lit(1)).alias("all"), F.count_if(F.col("n") == 0).alias("only")).where("only > 0")
+    expected = F.col("all") * F.pow(F.lit(toxic / max(1, toxic + clean)), F.col("times"))
+    least = by_times.where(expected <= CHANCE * F.col("only")).agg(F.min("times")).first()[0]
+    return least if least is not None else 1 << 60
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", rows: int = ROWS, units: int = UNITS) -> Model:
     """Fit on the labelled rows where ``usable`` (an expression of the id) holds."""
@@ -267,9 +285,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).join(
         F.broadcast(sample), "id").select("fold", "toxic", "text"), "toxicity-sample")
 
-    # a sentence that a clean document holds too is clean; copies of a sentence count once
+    # a context that a clean document holds too is clean; copies of a context count once
     heard = texts.where("fold > 0").select("text", "toxic").mapInArrow(
-        _sentence_units, "sentence long, unit string, toxic int").groupBy("unit", "sentence").agg(
+        _sentence_units, "context long, unit string, toxic int").groupBy("unit", "context").agg(
         F.min("toxic").alias("toxic"))
     found = stored(heard.groupBy("unit").agg(F.sum("toxic").alias("p"), F.sum(1 - F.col("toxic")).alias("n")),
                    "toxicity-units")
@@ -278,14 +296,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     def top(rows, *order):
         return [r["unit"] for r in rows.orderBy(*order, by_hash, "unit").limit(units).collect()]
 
+    def only_of(counted: DataFrame) -> DataFrame:
+        return counted.where("p > 0 AND n = 0")
+
     # units that only toxic sentences hold, so often that chance explains few of them
-    toxic, clean = found.agg(F.sum("p"), F.sum("n")).first()
-    often = found.groupBy((F.col("p") + F.col("n")).alias("times")).agg(
-        F.count(F.lit(1)).alias("all"), F.count_if(F.col("n") == 0).alias("only")).where("only > 0")
-    by_chance = F.col("all") * F.pow(F.lit((toxic or 0) / max(1, (toxic or 0) + (clean or 0))), F.col("times"))
-    least = often.where(by_chance <= CHANCE * F.col("only")).agg(F.min("times")).first()[0]
-    only = found.where("p > 0 AND n = 0")
-    positive = top(only.where(F.col("p") >= (least or 1)), F.desc("p"))
+    positive = top(only_of(found).where(F.col("p") >= _least(found)), F.desc("p"))
     clean = sorted({*top(found.where("n > 0"), F.desc("n")), *top(found.where("n > 0"))})
     if not positive or not clean:
         return Model(offset=-30.0)
@@ -293,7 +308,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     for _ in range(2):                      # what the classifier finds, against what it confuses
         scored = found.mapInArrow(_unit_margins(spark.sparkContext.broadcast(model)),
                                   "unit string, p long, n long, margin double")
-        positive = top(scored.where("p > 0 AND n = 0 AND margin > 0"), F.desc("p"), F.desc("margin")) or positive
+        scored = stored(scored, "toxicity-scored")
+        # a unit joins the insults if it scores above nearly all clean units
+        cut = scored.where("n > 0").agg(F.percentile_approx("margin", F.lit(1 - CLEAN_ABOVE), F.lit(100_000))).first()[0]
+        positive = sorted({*positive, *top(only_of(scored).where(F.col("margin") > max(0.5, cut)), F.desc("p"), F.desc("margin"))})
         clean = sorted({*clean, *top(scored.where("n > 0 AND margin > -1"), F.desc("margin"))})
         model = fit_svm(positive, clean)
     held = [(r[MARGIN], r["toxic"]) for r in with_margin(
