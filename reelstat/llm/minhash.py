@@ -40,6 +40,9 @@ BATCH, MISS = 24, 1e-6
 BLOCK_MEMBERS = 1024
 #: Shingles of all sets that one side of a block pair holds.
 BLOCK_SHINGLES = 4_000_000
+#: Bits of the bitmap that marks documents whose sets are needed (8 MB, broadcast).  With
+#: n such documents a share of n / MARK_BITS of all others is read again as well.
+MARK_BITS = 1 << 26
 #: Members of small buckets that one task call looks at.
 TASK_MEMBERS = 20_000
 SEED = 20240229
@@ -92,15 +95,35 @@ def _signed(words: int):
     return run
 
 
-def _sets(words: int):
+def _sets(words: int, marked):
+    """The sets of the texts whose bit is set in the broadcast bitmap."""
+
     def run(batches):
+        bits = np.frombuffer(marked.value, np.uint8)
         for batch in batches:
-            sets = [shingle_set(t, words).tobytes() for t in batch.column("text").to_pylist()]
+            bit = batch.column("bit").to_numpy()
+            texts = batch.column("text").filter(pa.array((bits[bit >> 3] >> (bit & 7)) & 1 == 1))
+            sets = [shingle_set(t, words).tobytes() for t in texts.to_pylist()]
             yield pa.RecordBatch.from_pydict({"same": pa.array([xxhash.xxh3_128_digest(x) for x in sets], pa.binary()),
                                               "shingles": pa.array(sets, pa.binary())})
     return run
 
 
+def _bit(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(MARK_BITS))
+
+
+def _marks(ids: DataFrame, column: str) -> bytes:
+    """A bitmap of hashed ids: MARK_BITS / 8 bytes, however many ids there are."""
+    bit = _bit(column) + 1
+    rows = ids.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
+    out = bytearray(MARK_BITS // 8)
+    for r in rows:                                  # 4096 bytes each
+        out[(r["part"] - 1) * 4096:r["part"] * 4096] = r["bits"]
+    return bytes(out)
+
+
 # ---- Bayesian pruning and exact verification -------------------------------------------------
 
 @functools.lru_cache(maxsize=8)
@@ -317,9 +340,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def sets_of(ids: DataFrame) -> DataFrame:
         """The full sets of some classes, taken again from the texts of their documents."""
         wanted = stored(ids.distinct().join(classes.select("id", "same", "first"), "id"), "minhash-wanted")
-        texts = rows.join(wanted.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-        return stored(texts.mapInArrow(_sets(words), "same binary, shingles binary").join(
-            wanted.select("id", "same"), "same").dropDuplicates(["id"]).select("id", "shingles"), "minhash-sets")
+        # a bounded bitmap of the documents leaves most texts where they are; the join on
+        # the set's digest is exact
+        marked = docs.sparkSession.sparkContext.broadcast(_marks(wanted, "first"))
+        found = rows.select(_bit("doc_id").alias("bit"), "text").mapInArrow(
+            _sets(words, marked), "same binary, shingles binary")
+        return stored(found.join(wanted.select("id", "same"), "same").dropDuplicates(["id"]).select("id", "shingles"),
+                      "minhash-sets")
 
     pairs = stored(pruned(stars), "minhash-pairs")
     sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
