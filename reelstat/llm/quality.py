@@ -9,7 +9,7 @@ repeated signs folded), so junk of unseen words still counts.
 
 The multinomials have BUCKETS cells whatever the corpus holds: they are counted with
 map-side aggregation and come back as one literal array, so scoring needs no shuffle.
-Only the marking of trusted documents joins texts with labels by id.
+The trusted multinomial is fitted on at most TRUSTED_ROWS labelled rows, a bounded broadcast.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from reelstat.llm.common import SPACE, text_of
 
 #: Cells of the hashed multinomials, and the count added to each.
 BUCKETS, SMOOTHING = 1 << 15, 1.0
+#: Trusted documents that the trusted multinomial is fitted on.
+TRUSTED_ROWS = 20_000
 #: Least mean log ratio of a kept document.
 THRESHOLD = -0.75
 #: Words of the windows whose repetition is counted.
@@ -57,9 +59,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
 
     ``trusted`` holds the ids of the trusted documents.  Without any (or without
     documents) all values are 0.  Rows with a null id are never trusted."""
-    marks = trusted.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct().withColumn(
-        "trusted", F.lit(1))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(marks, "id", "left")
+    marks = trusted.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct().orderBy(
+        F.xxhash64("id"), "id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(
+        F.broadcast(marks), "id", "left")
     # outer: an inner explode would infer a filter that computes the n-grams once more
     cells = with_ngrams(rows).select("trusted", F.explode_outer("ngrams").alias("cell")).groupBy("cell").agg(
         F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("good")).where("cell IS NOT NULL").collect()
