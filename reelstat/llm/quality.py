@@ -4,12 +4,13 @@ Base rules count words, symbols, repeated lines and words in repeated windows.
 method's verdict compares two multinomials over hashed n-grams: one of the trusted
 documents, one of the whole corpus (all documents, whole texts).  A document's score is
 the mean log ratio of its n-grams, and it is kept from a fixed threshold on.  The n-grams
-are words, pairs of neighbouring words, and the words' shapes (upper, lower, digit and
-repeated signs folded), so junk of unseen words still counts.
+are words, pairs of neighbouring words, and the last three characters of words, so
+junk of unseen words still counts.
 
 The multinomials have BUCKETS cells whatever the corpus holds: they are counted with
 map-side aggregation and come back as one literal array, so scoring needs no shuffle.
-The trusted multinomial is fitted on at most TRUSTED_ROWS labelled rows, a bounded broadcast.
+The trusted multinomial is fitted on at most TRUSTED_ROWS labelled rows (the smallest by a
+hash of the id), whose ids are a bounded broadcast; the corpus one counts every document.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ BUCKETS, SMOOTHING = 1 << 15, 1.0
 TRUSTED_ROWS = 20_000
 #: Least mean log ratio of a kept document.
 THRESHOLD = -0.75
-#: Words of the windows whose repetition is counted.
+#: Words of the windows whose repetition is counted (two halves of two pairs of words).
 WINDOW = 8
 
 
@@ -34,24 +35,23 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
-def _shapes(text: Column) -> Column:
-    for pattern, sign in ((r"\p{Lu}+", "A"), (r"\p{Ll}+", "a"), (r"\p{N}+", "0"), (r"([^\sAa0])\1+", "$1")):
-        text = F.regexp_replace(text, pattern, sign)
-    return text
+def _cell(number: Column) -> Column:
+    return F.pmod(number, F.lit(BUCKETS)).cast("int")
 
 
-def _ngrams(words: Column, shapes: Column) -> Column:
-    """Cells of all n-grams; a cell's number is a hash of the n-gram and its kind."""
-    cell = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
-    pairs = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                        lambda w, i: cell(F.get(words, i), w, F.lit(2)))
-    return F.concat(F.transform(words, lambda w: cell(w, F.lit(1))), pairs,
-                    F.transform(shapes, lambda w: cell(w, F.lit(3))))
+def _with_hashes(docs: DataFrame) -> DataFrame:
+    """Adds hashes of each word, of each pair of words and of each word's ending."""
+    docs = docs.withColumns({"h1": F.transform("words", lambda w: F.xxhash64(w)),
+                             "endings": F.transform("words", lambda w: F.xxhash64(F.substring(w, -3, 3), F.lit(3)))})
+    pairs = F.transform("h1", lambda h, i: F.xxhash64(h, F.get("h1", i + 1)))
+    return docs.withColumn("h2", F.slice(pairs, 1, F.greatest(F.size("h1") - 1, F.lit(0))))
 
 
 def with_ngrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    split = docs.withColumns({"words": _words(text_of(text_col)), "shapes": _words(_shapes(text_of(text_col)))})
-    return split.withColumn("ngrams", _ngrams(F.col("words"), F.col("shapes"))).drop("words", "shapes")
+    """Adds the cells of all n-grams."""
+    hashed = _with_hashes(docs.withColumn("words", _words(text_of(text_col))))
+    cells = F.concat(*[F.transform(c, _cell) for c in ("h1", "h2", "endings")])
+    return hashed.withColumn("ngrams", cells).drop("words", "h1", "h2", "endings")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
@@ -64,7 +64,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(
         F.broadcast(marks), "id", "left")
     # outer: an inner explode would infer a filter that computes the n-grams once more
-    cells = with_ngrams(rows).select("trusted", F.explode_outer("ngrams").alias("cell")).groupBy("cell").agg(
+    hashed = _with_hashes(rows.withColumn("words", _words(text_of("text"))))
+    cells = hashed.select("trusted", F.explode_outer(F.concat("h1", "h2", "endings")).alias("hash")).groupBy(
+        _cell(F.col("hash")).alias("cell")).agg(
         F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("good")).where("cell IS NOT NULL").collect()
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)        # at most BUCKETS rows came
     for r in cells:
@@ -77,13 +79,14 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
 
 def _repeat_words(docs: DataFrame) -> DataFrame:
     """Adds n_repeat_words: words in windows that occur twice or more, first ones
-    included.  Windows are compared by a 64-bit hash within their document."""
-    n = F.size("words")
-    hashes = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1))),
-                                             lambda i: F.xxhash64(F.slice("words", i, WINDOW))))
-    docs = docs.withColumn("hashes", hashes)
-    repeats = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    docs = docs.withColumn("ordered", F.when(repeats, F.array_sort(F.transform(
+    included.  A window's 64-bit hash is made of those of its halves, and only where a
+    half repeats is the whole looked at."""
+    n = F.size("h1")
+    wider = lambda c, step: F.transform(c, lambda h, i: F.xxhash64(h, F.get(c, i + step)))
+    docs = docs.withColumn("h4", F.when(n >= WINDOW, F.slice(wider("h2", 2), 1, F.greatest(n - 3, F.lit(0)))))
+    again = lambda c: F.size(F.array_distinct(c)) < F.size(c)
+    docs = docs.withColumn("hashes", F.when(again("h4"), F.slice(wider("h4", 4), 1, F.greatest(n - (WINDOW - 1), F.lit(0)))))
+    docs = docs.withColumn("ordered", F.when(again("hashes"), F.array_sort(F.transform(
         "hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     same = lambda at, s: F.coalesce(F.get("ordered", at)["h"] == s["h"], F.lit(False))
     docs = docs.withColumn("places", F.array_sort(F.transform(F.filter(
@@ -93,7 +96,7 @@ def _repeat_words(docs: DataFrame) -> DataFrame:
         lambda a, p: F.struct((a["total"] + F.least(F.lit(WINDOW), p - a["last"])).alias("total"), p.alias("last")),
         lambda a: a["total"])
     return docs.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop(
-        "hashes", "ordered", "places")
+        "h4", "hashes", "ordered", "places")
 
 
 def quality_rules(docs: DataFrame, ratios: list[float], id_col: str = "doc_id", text_col: str = "text",
@@ -106,7 +109,7 @@ def quality_rules(docs: DataFrame, ratios: list[float], id_col: str = "doc_id",
     empty result; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.withColumns({"words": _words(F.col("text")), "shapes": _words(_shapes(F.col("text")))})
+    rows = _with_hashes(rows.withColumn("words", _words(F.col("text"))))
     lines = F.filter(F.split("text", "\n", -1), lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
     rows = _repeat_words(rows.withColumns({
         "n_words": F.size("words").cast("long"),
@@ -115,8 +118,7 @@ def quality_rules(docs: DataFrame, ratios: list[float], id_col: str = "doc_id",
         "lines": lines}))
     # one foldable literal: the table of cells is bounded by BUCKETS
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
-    cells = _ngrams(F.col("words"), F.col("shapes"))
-    total = F.aggregate(cells, F.lit(0.0), lambda a, c: a + F.get(table, c))
+    total = sum(F.aggregate(c, F.lit(0.0), lambda a, h: a + F.get(table, _cell(h))) for c in ("h1", "h2", "endings"))
     rows = rows.withColumns({
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         "mean_ratio": F.when(F.col("n_words") > 0, total / (3 * F.col("n_words") - 1)).otherwise(0.0),
