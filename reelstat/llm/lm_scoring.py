@@ -51,7 +51,7 @@ def _schema(ddl: str) -> pa.Schema:
 
 def _encode(batches):
     """Text rows -> per chunk: token codes of its documents, each ended by the end token."""
-    for chunk, t in chunked(batches, CHUNK_BYTES):
+    for chunk, t in chunked(batches, CHUNK_BYTES // 2):
         for part in ("tune", "rest"):
             own = t.filter(pc.equal(t.column("part"), part)).combine_chunks()
             if not own.num_rows:
