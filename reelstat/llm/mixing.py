@@ -205,7 +205,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         Window.unboundedPreceding, -1)), F.lit(0))
     slots = drawn.withColumn("offset", offset).select("shard", "number", "offset", "count").mapInArrow(
         _slots(quota, totals, np.maximum(blocks, 1), seed), "shard long, number long, block long, epoch long")
-    return Mix(sized, pieces, slots)
+    # written, so that the planner knows its size and does not broadcast it
+    return Mix(sized, pieces, stored(slots, "mixing-slots"))
 
 
 def taken_words(mix: Mix) -> DataFrame:
