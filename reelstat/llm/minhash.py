@@ -109,6 +109,17 @@ def _sets(words: int, marked):
     return run
 
 
+def _marked(marked):
+    """The rows whose bit is set in the broadcast bitmap, without the bit."""
+
+    def run(batches):
+        bits = np.frombuffer(marked.value, np.uint8)
+        for batch in batches:
+            bit = batch.column("bit").to_numpy()
+            yield batch.drop_columns(["bit"]).filter(pa.array((bits[bit >> 3] >> (bit & 7)) & 1 == 1))
+    return run
+
+
 def _bit(column: str):
     return F.pmod(F.xxhash64(column), F.lit(MARK_BITS))
 
@@ -326,6 +337,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the pivot of a bucket is the member that meets most others over all bands: of a
     # text and its variants mostly the text, which is linked where two variants are not
     weight = stored(shared.groupBy("id").agg(F.sum("members").alias("weight")), "minhash-weights")
+    # only signatures of documents that share a bucket travel (a bounded bitmap, as for texts)
+    context = docs.sparkSession.sparkContext
+    signs = stored(signs.withColumn("bit", _bit("id")).mapInArrow(
+        _marked(context.broadcast(_marks(weight, "id"))), "id long, signature binary"), "minhash-candidates")
     pivots = stored(shared.select("key", "id").join(weight, "id").groupBy("key").agg(
         F.max(F.struct("weight", "id"))["id"].alias("pivot")), "minhash-pivots")
     stars = shared.select("key", "id").join(pivots, "key").where("id <> pivot").select(
@@ -342,7 +357,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wanted = stored(ids.distinct().join(classes.select("id", "same", "first"), "id"), "minhash-wanted")
         # a bounded bitmap of the documents leaves most texts where they are; the join on
         # the set's digest is exact
-        marked = docs.sparkSession.sparkContext.broadcast(_marks(wanted, "first"))
+        marked = context.broadcast(_marks(wanted, "first"))
         found = rows.select(_bit("doc_id").alias("bit"), "text").mapInArrow(
             _sets(words, marked), "same binary, shingles binary")
         return stored(found.join(wanted.select("id", "same"), "same").dropDuplicates(["id"]).select("id", "shingles"),
