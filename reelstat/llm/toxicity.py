@@ -205,7 +205,7 @@ def _sentence_units(batches):
     """Labelled texts -> (context, unit, toxic): every unit of every sentence with a
     number for its neighbours.  Copies and near copies of a sentence have the same
     neighbours nearly everywhere, an insult has others each time."""
-    for batch in batches:
+    for batch in (b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)):     # bounds the lists of words
         sentences, toxic = [], []
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             own = {s for s in map(str.strip, SENTENCE.split(text.lower())) if s}
