@@ -26,7 +26,7 @@ from reelstat.session import shared_dir
 #: Word separators of all contracts: space and the five ASCII controls 09-0D.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes of text that one chunk gathers before it is packed.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,7 @@ def chunked(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text")
             if size >= limit:
                 yield first + n, pa.Table.from_batches(held).combine_chunks()
                 held, size, n = [], 0, n + 1
+                pa.default_memory_pool().release_unused()       # workers share the executor's memory
     if held:
         yield first + n, pa.Table.from_batches(held).combine_chunks()
 

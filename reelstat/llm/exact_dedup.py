@@ -29,7 +29,7 @@ from reelstat.llm.common import (CHUNK_BYTES, SPACE, buckets_for, chunked, pack,
 #: Bytes of a block.
 BLOCK_BYTES = 8192
 #: Bytes of blocks (or pairs, 16 each) that a bucket names in one task.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 #: A name is bucket << RANK_BITS | rank.
 RANK_BITS = 36
 
