@@ -52,8 +52,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of documents with a shingle similarity of 0.85 one stays."""
-    kept = stored(near_duplicates(docs, words=5, percent=85).where("kept").select(
+    """Of every component of documents with a shingle similarity of 0.8 one stays."""
+    kept = stored(near_duplicates(docs, words=5, percent=80).where("kept").select(
         F.col("doc_id").alias("__id")).distinct(), "pipeline-near")
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(docs.columns)
 

@@ -16,8 +16,8 @@ signatures, which leaves the members with a pair to verify, then these on their
 likeliest pairs first, and only links that join components are emitted.  Pairs within a
 component need no comparison, so the components are those of all candidate links.
 
-With BANDS bands of ROWS rows a pair at the threshold 0.85 shares no band with
-probability (1 - 0.85**5)**24 = 8e-7; MISS adds 1e-6.
+With BANDS bands of ROWS rows a pair at the threshold s shares no band with probability
+(1 - s**5)**24: 8e-7 at 0.85, 7e-5 at 0.8 (1.5e-5 at 0.82); MISS adds 1e-6.
 """
 
 from __future__ import annotations

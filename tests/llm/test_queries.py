@@ -56,6 +56,16 @@ def test_pipeline_odd_rows(spark, odd, odd_rows):
     assert near.columns == odd.columns and near.count() > 40
 
 
+def test_pipeline_drops_near_copies_from_four_fifths(spark):
+    """Pairs of 100 shingles each of which the last k differ: a similarity of (100 - k) / (100 + k)."""
+    docs = []
+    for i, k in enumerate([9, 10, 11, 11, 12, 30]):     # 0.835, 0.818, 0.802, 0.802, 0.786, 0.538
+        base = [f"w{i}x{j}" for j in range(104)]
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:104 - k], *(f"{w}y" for w in base[104 - k:])]))]
+    kept = P.drop_near_copies(spark, spark.createDataFrame(docs, "doc_id long, text string"), SF).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 2, 4, 6, 8, 9, 10, 11]
+
+
 def plain(text):
     import re
 
