@@ -9,8 +9,9 @@ junk of unseen words still counts.
 
 The multinomials have BUCKETS cells whatever the corpus holds: they are counted with
 map-side aggregation and come back as one literal array, so scoring needs no shuffle.
-The trusted multinomial is fitted on at most TRUSTED_ROWS labelled rows (the smallest by a
-hash of the id), whose ids are a bounded broadcast; the corpus one counts every document.
+Both count every row of theirs.  The trusted ids come to the texts as masks of 64
+neighbouring ids, so texts stay where they are; ids so many or so scattered that there are more than
+MASKS masks are joined without a broadcast instead, with the same result.
 """
 
 from __future__ import annotations
@@ -19,12 +20,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import SPACE, text_of
+from reelstat.llm.common import SPACE, stored, text_of
 
 #: Cells of the hashed multinomials, and the count added to each.
 BUCKETS, SMOOTHING = 1 << 15, 1.0
-#: Trusted documents that the trusted multinomial is fitted on.
-TRUSTED_ROWS = 20_000
+#: Masks of trusted ids (16 bytes each) that are broadcast at most.
+MASKS = 1 << 20
 #: Least mean log ratio of a kept document.
 THRESHOLD = -0.75
 #: Words of the windows whose repetition is counted (two halves of two pairs of words).
@@ -59,10 +60,13 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
 
     ``trusted`` holds the ids of the trusted documents.  Without any (or without
     documents) all values are 0.  Rows with a null id are never trusted."""
-    marks = trusted.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct().orderBy(
-        F.xxhash64("id"), "id").limit(TRUSTED_ROWS).withColumn("trusted", F.lit(1))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(marks), "id", "left")
+    word, bit = F.shiftright("id", 6), F.expr("int(id & 63)")
+    marks = stored(trusted.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").groupBy(
+        word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("mask")), "quality-trusted")
+    few = marks.count() <= MASKS
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("word", word).join(
+        F.broadcast(marks) if few else marks.hint("merge"), "word", "left").withColumn(
+        "trusted", F.when(F.call_function("shiftright", F.col("mask"), bit).bitwiseAND(F.lit(1)) == 1, 1))
     # outer: an inner explode would infer a filter that computes the n-grams once more
     hashed = _with_hashes(rows.withColumn("words", _words(text_of("text"))))
     cells = hashed.select("trusted", F.explode_outer(F.concat("h1", "h2", "endings")).alias("hash")).groupBy(

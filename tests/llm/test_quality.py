@@ -66,6 +66,22 @@ def test_ratio_equals_brute_force(spark, corpus):
     assert min(got[i]["mean_ratio"] for i in range(60)) > max(got[100 + i]["mean_ratio"] for i in range(20))
 
 
+@pytest.mark.parametrize("masks", [1 << 20, 0])
+def test_all_trusted_rows_count(spark, monkeypatch, masks):
+    """30,000 trusted documents with scattered, negative and neighbouring ids; of "beta" all, of "alpha" half."""
+    monkeypatch.setattr(quality, "MASKS", masks, raising=False)
+    rows = [((i - 30_000) * (1 if i % 3 else 7_777_777_777), "beta" if i % 2 else "alpha") for i in range(40_000)]
+    assert len({i for i, _ in rows}) == 40_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = [r for i, r in enumerate(rows) if i % 4]
+    ratios = log_ratios(docs, spark.createDataFrame([(i,) for i, _ in trusted] * 2 + [(None,)], "doc_id long"))
+    cells = {r["text"]: r["ngrams"] for r in with_ngrams(docs.dropDuplicates(["text"])).collect()}
+    share = lambda n, of: math.log((n + 1) / (2 * of + BUCKETS))  # noqa: E731  a word and its ending each
+    for text, n in (("alpha", 10_000), ("beta", 20_000)):
+        assert sum(t == text for _, t in trusted) == n and len(set(cells[text])) == 2
+        assert all(ratios[c] == pytest.approx(share(n, 30_000) - share(20_000, 40_000)) for c in cells[text])
+
+
 def test_plans_stay_native(corpus):
     plan = quality_rules(corpus, [0.0] * BUCKETS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
