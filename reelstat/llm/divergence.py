@@ -14,9 +14,6 @@ sources; partial sums per block are added up.  All arithmetic is on integers.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,40 +21,57 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import chunked, pack, stored, text_of, unpack
+from reelstat.llm.common import CHUNK_BYTES, chunked, pack, stored, text_of, unpack
 
-#: Bytes of text whose terms a task counts at a time.
-CHUNK = 16 << 20
 #: A block of the vocabulary holds at most so many terms, and counts over zero.
 BLOCK_TERMS, BLOCK_CELLS = 1 << 16, 1 << 21
 #: Columns of one side of a tile.
 TILE = 64
 #: Shares are counted in units of one in SCALE.
 SCALE = 10 ** 9
-#: One document, beside the occurrences of a term in the low bits.
-_DOC = 1 << 40
-
-#: Terms in UTF-8: ASCII letters and all bytes of other characters.
-_TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+#: What a term keeps of each byte: ASCII letters in lower case, all bytes of other characters, else 0.
+_LETTERS = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 0 for b in range(256)], np.uint8)
 
 
 # ---- counts ----------------------------------------------------------------------------------
 
+def _terms(texts: pa.BinaryArray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The terms of some UTF-8 texts in order, and the text of each."""
+    starts = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[starts[0]:starts[-1]]
+    starts = starts - starts[0]
+    lowered = _LETTERS[data]
+    letter = lowered != 0
+    first = letter.copy()                               # a letter after another character or a text's begin
+    first[1:] &= ~letter[:-1]
+    begins = starts[:-1][starts[:-1] < len(data)]
+    first[begins] = letter[begins]
+    at = np.flatnonzero(first)
+    offsets = np.append(np.cumsum(letter, dtype=np.int32)[at] - 1, np.int32(letter.sum())).astype(np.int32)
+    held = np.ascontiguousarray(lowered[letter])
+    terms = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+    return terms.dictionary_encode(), np.searchsorted(starts, at, side="right") - 1
+
+
 def _counted(batches):
     """(lang, source, text) -> (lang, source, term, n, docs) of each chunk, and an empty term
     for every group, so that groups without terms are known."""
-    for _, t in chunked(batches, CHUNK):
-        groups: dict[tuple[str, str], dict[bytes, int]] = {}
-        texts = t.column("text").cast(pa.binary()).to_pylist()
-        for lang, source, text in zip(t.column("lang").to_pylist(), t.column("source").to_pylist(), texts):
-            held = groups.setdefault((lang, source), {b"": 0})
-            for term, n in Counter(_TERM.findall(text.lower())).items():    # bytes: only A-Z change
-                held[term] = held.get(term, 0) + n + _DOC
-        for (lang, source), held in groups.items():
-            both = np.fromiter(held.values(), np.int64, len(held))
-            yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(held), pa.string()), "source": pa.array([source] * len(held), pa.string()),
-                "term": pa.array(list(held), pa.binary()).cast(pa.string()), "n": both & (_DOC - 1), "docs": both >> 40})
+    for _, t in chunked(batches, CHUNK_BYTES):
+        names: dict[tuple[str, str], int] = {}
+        group = np.array([names.setdefault(g, len(names)) for g in zip(
+            t.column("lang").to_pylist(), t.column("source").to_pylist())], np.int64)
+        terms, text = _terms(t.column("text").combine_chunks().cast(pa.binary()))
+        size, code = max(1, len(terms.dictionary)), terms.indices.to_numpy().astype(np.int64)
+        own, n = np.unique(text * size + code, return_counts=True)              # a text's terms once
+        held, at = np.unique(group[own // size] * size + own % size, return_inverse=True)
+        total = np.bincount(at.reshape(-1), weights=n, minlength=len(held)).astype(np.int64)
+        docs = np.bincount(at.reshape(-1), minlength=len(held))
+        word = pa.concat_arrays([terms.dictionary.take(pa.array(held % size)), pa.array([b""] * len(names), pa.binary())])
+        which, more = pa.array(np.append(held // size, np.arange(len(names)))), np.zeros(len(names), np.int64)
+        yield pa.RecordBatch.from_pydict({
+            "lang": pa.array([g[0] for g in names], pa.string()).take(which),
+            "source": pa.array([g[1] for g in names], pa.string()).take(which), "term": word.cast(pa.string()),
+            "n": np.append(total, more), "docs": np.append(docs, more)})
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
