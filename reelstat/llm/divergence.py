@@ -196,9 +196,13 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
         .select("lang", "source", (group_n + v).alias("total"), (lang_n + v).alias("lang_total"),
                 (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).alias("number")), "divergence-groups")
 
-    # the vocabulary in the order of its counts; the term splits long rows of equal counts
-    ordered = kept.repartitionByRange("lang", F.size("entries"), "entries", "term").sortWithinPartitions(
-        "lang", F.size("entries"), "entries", "term")
+    # the vocabulary in the order of its counts; ranges are cut by a short key, of which Spark
+    # samples at most a million rows, and the term's hash splits long rows of equal counts
+    def cell_of(i):
+        return F.try_element_at("entries", F.lit(i))
+
+    ordered = kept.repartitionByRange(
+        "lang", F.size("entries"), cell_of(1), cell_of(2), F.xxhash64("term")).sortWithinPartitions("lang", F.size("entries"), "entries")
     columns = stored(ordered.select("lang", "entries").mapInArrow(_columns(block_terms, block_cells), _COLUMN),
                      "divergence-columns")
     empty = groups.select("lang").distinct().select("lang", F.lit(-1).cast("long").alias("block"),

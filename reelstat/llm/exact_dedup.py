@@ -33,13 +33,13 @@ BUCKET_BYTES = 16 << 20
 #: A name is bucket << RANK_BITS | rank.
 RANK_BITS = 36
 
-STATE = "chunk long, doc_ids array<long>, sha array<string>, sizes binary, counts binary, names binary"
+STATE = "chunk long, doc_ids array<long>, sha array<string>, carried array<binary>, sizes binary, counts binary, names binary"
 ASK = "bucket long, chunk long, places binary, lengths binary, items binary"
 ANSWER = "chunk long, places binary, names binary"
 PAIR = ">qq"
 
 
-def _first_blocks(block_bytes: int):
+def _first_blocks(block_bytes: int, carry: tuple[str, ...]):
     """Text rows -> per chunk: the documents, and their blocks as chunk-local codes."""
 
     def run(batches):
@@ -57,7 +57,8 @@ def _first_blocks(block_bytes: int):
                     codes.append(code)
             yield pa.RecordBatch.from_pydict({
                 "chunk": [chunk], "doc_ids": [t.column("doc_id").to_pylist()],
-                "sha": [t.column("sha").to_pylist()], "sizes": [pack(np.array(sizes, np.int64))],
+                "sha": [t.column("sha").to_pylist()],
+                "carried": [[pack(t.column(c).to_numpy()) for c in carry]], "sizes": [pack(np.array(sizes, np.int64))],
                 "counts": [pack(np.array(counts, np.int64))],
                 "names": [pack(np.array(codes, np.int64))],
                 "items": [zstandard.compress(b"".join(blocks), 1)],
@@ -68,7 +69,7 @@ def _first_blocks(block_bytes: int):
 
 def _arrow(ddl: str, **more: str) -> pa.Schema:
     kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
-             "array<string>": pa.list_(pa.string())}
+             "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary())}
     fields = [f.strip().split(" ", 1) for f in ddl.split(", ")] + [*more.items()]
     return pa.schema([(name, kinds[kind]) for name, kind in fields])
 
@@ -150,14 +151,17 @@ def _named(paired: bool):
     return run
 
 
-def _flat(batches):
-    for batch in batches:
-        for row in batch.to_pylist():
-            n = len(row["doc_ids"])
-            yield pa.RecordBatch.from_pydict({
-                "chunk": np.full(n, row["chunk"]), "place": np.arange(n),
-                "doc_id": pa.array(row["doc_ids"], pa.int64()), "text_sha256": pa.array(row["sha"], pa.string()),
-                "size": unpack(row["sizes"], np.int64), "name": unpack(row["names"], np.int64)})
+def _flat(carry: tuple[str, ...]):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = len(row["doc_ids"])
+                yield pa.RecordBatch.from_pydict({
+                    "chunk": np.full(n, row["chunk"]), "place": np.arange(n),
+                    "doc_id": pa.array(row["doc_ids"], pa.int64()), "text_sha256": pa.array(row["sha"], pa.string()),
+                    "size": unpack(row["sizes"], np.int64), "name": unpack(row["names"], np.int64),
+                    **{c: unpack(x, np.int64) for c, x in zip(carry, row["carried"])}})
+    return run
 
 
 def _level(state: DataFrame, asked: DataFrame, paired: bool) -> DataFrame:
@@ -167,13 +171,13 @@ def _level(state: DataFrame, asked: DataFrame, paired: bool) -> DataFrame:
 
 
 def text_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """chunk, place (together a row's key), doc_id, text_sha256, size, name: two
-    rows have equal (size, name) exactly when their normalised texts are equal."""
+                    block_bytes: int = BLOCK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """chunk, place (together a row's key), doc_id, text_sha256, size, name and the long
+    columns ``carry``: two rows have equal (size, name) exactly when their normalised texts are equal."""
     plain = F.regexp_replace(text_of(text_col), SPACE, " ")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), plain.alias("text")).withColumn(
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), plain.alias("text"), *carry).withColumn(
         "sha", F.sha2("text", 256))
-    first = stored(rows.mapInArrow(_first_blocks(block_bytes),
+    first = stored(rows.mapInArrow(_first_blocks(block_bytes, carry),
                                    STATE + ", items binary, lengths binary, item_bytes long"), "exact_dedup-blocks")
     total = first.agg(F.sum("item_bytes")).first()[0] or 0
     asked = first.select("chunk", "items", "lengths").mapInArrow(
@@ -184,7 +188,8 @@ def text_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.max("most"), F.sum("total")).first()
         if (most or 1) == 1:
             return state.mapInArrow(
-                _flat, "chunk long, place long, doc_id long, text_sha256 string, size long, name long")
+                _flat(carry), "chunk long, place long, doc_id long, text_sha256 string, size long, name long"
+                + "".join(f", {c} long" for c in carry))
         asked = state.select("chunk", "counts", "names").mapInArrow(
             _ask_pairs(buckets_for(16 * total, BUCKET_BYTES)), ASK)
         state = _level(state, asked, paired=True)
@@ -198,8 +203,9 @@ def _extent(batches):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+                block_bytes: int = BLOCK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and the columns
+    ``carry`` of docs (long, without nulls) as they are.
 
     Texts are equal when identical after replacing each run of white space by one
     space; of equal texts the smallest doc_id stays.  Null text counts as empty,
@@ -208,7 +214,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     share ``keep_id``.  An empty table gives an empty result.  Other columns are
     not read.
     """
-    flat = text_identities(docs, id_col, text_col, block_bytes)
+    flat = text_identities(docs, id_col, text_col, block_bytes, carry)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "chunk", "place")
     groups = flat.groupBy("size", "name").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size"))
     # written, so that the join has exchanges of its own and splits a hot group
@@ -218,4 +224,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return flat.join(groups, ["size", "name"], "left").select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (alone | kept).alias("kept"), "text_sha256")
+        (alone | kept).alias("kept"), "text_sha256", *carry)

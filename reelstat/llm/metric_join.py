@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import CHUNK_BYTES, chunked, stored, text_of
+from reelstat.llm.common import CHUNK_BYTES, chunked, id_bit, id_marks, is_marked, stored, text_of
 from reelstat.llm.minhash import components
 
 #: Sizes of a shell grow by this factor at least.
@@ -52,8 +52,6 @@ MEMBERS, LOAD = 1024, 1_000_000
 PIVOTS, LEVELS, FAR = 32, 6, 0.5
 #: A region above this share of the one it comes from is not cut by pivots again.
 SHRINK = 0.75
-#: The bitmap that marks documents to read again has 16 bits for each up to so many bits.
-MARK_BITS = 1 << 28
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -162,10 +160,8 @@ def _sets(words: int, marked):
     """The sets of the texts whose bit is set in the broadcast bitmap."""
 
     def run(batches):
-        marks = np.frombuffer(marked.value, np.uint8)
         for batch in batches:
-            bit = batch.column("bit").to_numpy()
-            texts = batch.column("text").filter(pa.array((marks[bit >> 3] >> (bit & 7)) & 1 == 1)).cast(pa.binary())
+            texts = batch.column("text").filter(is_marked(marked, batch.column("bit"))).cast(pa.binary())
             sets = [shingle_set(t, words).tobytes() for t in texts.to_pylist()]
             yield pa.RecordBatch.from_pydict({"same": pa.array([xxhash.xxh3_128_digest(x) for x in sets], pa.binary()),
                                               "shingles": pa.array(sets, pa.binary())})
@@ -174,20 +170,9 @@ def _sets(words: int, marked):
 
 def _full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """wanted: (id, same, first); (id, shingles), taken again from the texts.  A bitmap of
-    hashed document ids, 16 bits a document up to MARK_BITS in all, leaves most other texts
-    where they are; beyond that some are read for nothing.  The join on the digest is exact."""
-    bits = min(MARK_BITS, max(1 << 16, 1 << (16 * wanted.count()).bit_length()))
-
-    def bit(column):
-        return F.pmod(F.xxhash64(column), F.lit(bits))
-
-    place = bit("first") + 1
-    marks = bytearray(bits // 8)
-    for r in wanted.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect():
-        marks[(r["part"] - 1) * 4096:r["part"] * 4096] = r["bits"]      # 4096 bytes each
-    marked = rows.sparkSession.sparkContext.broadcast(bytes(marks))
-    found = rows.select(bit("doc_id").alias("bit"), "text").mapInArrow(
+    hashed document ids leaves most other texts where they are; the join on the digest is exact."""
+    marked, bits = id_marks(wanted, "first")
+    found = rows.select(id_bit("doc_id", bits).alias("bit"), "text").mapInArrow(
         _sets(words, marked), "same binary, shingles binary")
     return stored(found.join(wanted.select("id", "same"), "same").dropDuplicates(["id"]).select("id", "shingles"),
                   "metric-sets")

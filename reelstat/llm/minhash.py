@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import CHUNK_BYTES, chunked, stored, text_of
+from reelstat.llm.common import CHUNK_BYTES, chunked, discard, id_bit, id_marks, is_marked, stored, text_of
 
 BANDS, ROWS = 24, 5
 #: Signature values compared at a time, and the miss probability of pruning.
@@ -40,11 +40,8 @@ BATCH, MISS = 24, 1e-6
 BLOCK_MEMBERS = 1024
 #: Shingles of all sets that one side of a block pair holds.
 BLOCK_SHINGLES = 4_000_000
-#: Bits of the bitmap that marks documents whose sets are needed (8 MB, broadcast).  With
-#: n such documents a share of n / MARK_BITS of all others is read again as well.
-MARK_BITS = 1 << 26
 #: Members of small buckets that one task call looks at.
-TASK_MEMBERS = 20_000
+TASK_MEMBERS = 2048
 SEED = 20240229
 
 _LOWER = re.compile("[A-Z]+")
@@ -99,10 +96,8 @@ def _sets(words: int, marked):
     """The sets of the texts whose bit is set in the broadcast bitmap."""
 
     def run(batches):
-        bits = np.frombuffer(marked.value, np.uint8)
         for batch in batches:
-            bit = batch.column("bit").to_numpy()
-            texts = batch.column("text").filter(pa.array((bits[bit >> 3] >> (bit & 7)) & 1 == 1))
+            texts = batch.column("text").filter(is_marked(marked, batch.column("bit")))
             sets = [shingle_set(t, words).tobytes() for t in texts.to_pylist()]
             yield pa.RecordBatch.from_pydict({"same": pa.array([xxhash.xxh3_128_digest(x) for x in sets], pa.binary()),
                                               "shingles": pa.array(sets, pa.binary())})
@@ -113,28 +108,11 @@ def _marked(marked):
     """The rows whose bit is set in the broadcast bitmap, without the bit."""
 
     def run(batches):
-        bits = np.frombuffer(marked.value, np.uint8)
         for batch in batches:
-            bit = batch.column("bit").to_numpy()
-            yield batch.drop_columns(["bit"]).filter(pa.array((bits[bit >> 3] >> (bit & 7)) & 1 == 1))
+            yield batch.drop_columns(["bit"]).filter(is_marked(marked, batch.column("bit")))
     return run
 
 
-def _bit(column: str):
-    return F.pmod(F.xxhash64(column), F.lit(MARK_BITS))
-
-
-def _marks(ids: DataFrame, column: str) -> bytes:
-    """A bitmap of hashed ids: MARK_BITS / 8 bytes, however many ids there are."""
-    bit = _bit(column) + 1
-    rows = ids.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    out = bytearray(MARK_BITS // 8)
-    for r in rows:                                  # 4096 bytes each
-        out[(r["part"] - 1) * 4096:r["part"] * 4096] = r["bits"]
-    return bytes(out)
-
-
 # ---- Bayesian pruning and exact verification -------------------------------------------------
 
 @functools.lru_cache(maxsize=8)
@@ -324,10 +302,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     signed = stored(rows.mapInArrow(_signed(words), "doc_id long, n_shingles long, same binary, signature binary"),
                     "minhash-signed")
-    # equal sets are one class; its number is a hash of the set, its document the smallest
+    # equal sets are one class; its number is its place in the table, its document the smallest
     classes = stored(signed.where("doc_id IS NOT NULL AND same IS NOT NULL").groupBy("same").agg(
         F.min(F.struct("doc_id", "signature", "n_shingles")).alias("of")).select(
-        F.xxhash64("same").alias("id"), "same", F.col("of.doc_id").alias("first"), F.col("of.signature").alias("signature"),
+        F.monotonically_increasing_id().alias("id"), "same", F.col("of.doc_id").alias("first"), F.col("of.signature").alias("signature"),
         F.col("of.n_shingles").alias("shingle_count")), "minhash-classes")
     signs = classes.select("id", "signature")
 
@@ -338,9 +316,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # text and its variants mostly the text, which is linked where two variants are not
     weight = stored(shared.groupBy("id").agg(F.sum("members").alias("weight")), "minhash-weights")
     # only signatures of documents that share a bucket travel (a bounded bitmap, as for texts)
-    context = docs.sparkSession.sparkContext
-    signs = stored(signs.withColumn("bit", _bit("id")).mapInArrow(
-        _marked(context.broadcast(_marks(weight, "id"))), "id long, signature binary"), "minhash-candidates")
+    marked, bits = id_marks(weight, "id")
+    signs = stored(signs.withColumn("bit", id_bit("id", bits)).mapInArrow(_marked(marked), "id long, signature binary"),
+                   "minhash-candidates")
+    # what no later step reads goes: bands, and the tables that hold all signatures
+    signed, whole = stored(signed.drop("signature"), "minhash-documents"), signed
+    classes, numbered = stored(classes.drop("signature"), "minhash-numbered"), classes
+    discard(bands, sizes, whole, numbered)
     pivots = stored(shared.select("key", "id").join(weight, "id").groupBy("key").agg(
         F.max(F.struct("weight", "id"))["id"].alias("pivot")), "minhash-pivots")
     stars = shared.select("key", "id").join(pivots, "key").where("id <> pivot").select(
@@ -357,8 +339,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wanted = stored(ids.distinct().join(classes.select("id", "same", "first"), "id"), "minhash-wanted")
         # a bounded bitmap of the documents leaves most texts where they are; the join on
         # the set's digest is exact
-        marked = context.broadcast(_marks(wanted, "first"))
-        found = rows.select(_bit("doc_id").alias("bit"), "text").mapInArrow(
+        marked, bits = id_marks(wanted, "first")
+        found = rows.select(id_bit("doc_id", bits).alias("bit"), "text").mapInArrow(
             _sets(words, marked), "same binary, shingles binary")
         return stored(found.join(wanted.select("id", "same"), "same").dropDuplicates(["id"]).select("id", "shingles"),
                       "minhash-sets")
