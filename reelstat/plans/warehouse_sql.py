@@ -1,9 +1,9 @@
 """The warehouse route: the analysis queries as Spark SQL over catalog tables.
 
 ``ratings_ext`` (userId, movieId, rating, date) and ``movies_ext`` (movieId,
-title, year, genres, main_genre), or the tables named by the parameters ``ratings``
-and ``movies``, are catalog tables - external CSV tables from ``register_external`` -
-or views.  The SQL
+title, year, genres, main_genre) are catalog tables of the current database, as
+``register_external`` makes them; no temporary view can stand in for them.  Other tables or
+views are read where the parameters ``ratings`` and ``movies`` name them (``views``).  The SQL
 aggregates ratings per movie before joining the catalogue (the same plan
 as the DataFrame operators), rounds means half-up through decimal(38,12) and
 ends every ORDER BY .. LIMIT with the entity key.
@@ -11,8 +11,13 @@ ends every ORDER BY .. LIMIT with the entity key.
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from reelstat.sources.catalog import qualified
+
 _R2 = "CAST(ROUND(CAST({} AS DECIMAL(38,12)), 2) AS DOUBLE)"
 
 PER_MOVIE = """
@@ -78,19 +83,30 @@ DEFAULTS = {
     "year_production": {"n": 20},
     "high_score": {"min_count": 100, "min_avg": 4.0},
     "active_users": {"n": 10},
-    "movie_stats_top": {"min_count": 100, "n": 10, "table": "movie_stats"},
+    "movie_stats_top": {"min_count": 100, "n": 10},
 }
 
 
-def statement(name: str, **params) -> str:
-    args = {"ratings": "ratings_ext", "movies": "movies_ext", **DEFAULTS.get(name, {}), **params}
+def statement(spark: SparkSession, name: str, **params) -> str:
+    """The statement's text; tables that are not given are those of the current database."""
+    tables = {"ratings": "ratings_ext", "movies": "movies_ext", "table": "movie_stats"}
+    args = {k: qualified(spark, v) for k, v in tables.items()} | DEFAULTS.get(name, {}) | params
     return STATEMENTS[name].format(**{k: repr(v) if isinstance(v, float) else v for k, v in args.items()})
 
 
-def register_views(ratings: DataFrame, movies: DataFrame) -> None:
-    """Expose DataFrames as session-wide temporary views under the default table names."""
-    ratings.createOrReplaceTempView("ratings_ext")
-    movies.createOrReplaceTempView("movies_ext")
+@contextlib.contextmanager
+def views(ratings: DataFrame, movies: DataFrame):
+    """DataFrames as temporary views under names of their own, dropped on exit: the parameters
+    ``ratings`` and ``movies`` of ``run``.  Results planned inside stay valid after it."""
+    tag = uuid.uuid4().hex[:12]
+    names = {"ratings": f"ratings_view_{tag}", "movies": f"movies_view_{tag}"}
+    ratings.createOrReplaceTempView(names["ratings"])
+    movies.createOrReplaceTempView(names["movies"])
+    try:
+        yield names
+    finally:
+        for view in names.values():
+            ratings.sparkSession.catalog.dropTempView(view)
 
 
 def run(spark: SparkSession, name: str, **params) -> DataFrame:
@@ -99,4 +115,4 @@ def run(spark: SparkSession, name: str, **params) -> DataFrame:
     ``movie_stats_top`` reads the table named by ``table`` (default
     ``movie_stats``; ``materialize`` it first).
     """
-    return spark.sql(statement(name, **params))
+    return spark.sql(statement(spark, name, **params))

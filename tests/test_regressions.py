@@ -63,13 +63,15 @@ def _clean_folder(spark, path, n):
 
 def test_warehouse_job_reads_its_folders(spark, tmp_dir):
     everything = registry.ingest(spark, SF)
-    warehouse_sql.register_views(*everything)              # views of the same names
+    for table, df in zip(("ratings_ext", "movies_ext"), everything):       # views of the same names
+        df.createOrReplaceTempView(table)
     try:
         for n in (50, 70):
             _clean_folder(spark, f"{tmp_dir}/{n}", n)
             out = jobs.warehouse_job(spark, f"{tmp_dir}/{n}/r", f"{tmp_dir}/{n}/m", refresh=True,
                                      table_dir=f"{tmp_dir}/stats", min_count=1)
             assert out["rating_distribution_pct"].first()["cnt"] == n
+            assert warehouse_sql.run(spark, "rating_distribution_pct").first()["cnt"] == n      # default names
             assert sum(r["rating_cnt"] for r in out["movie_stats_top"].collect()) == n
     finally:
         spark.catalog.dropTempView("ratings_ext")

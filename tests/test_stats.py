@@ -119,8 +119,9 @@ def test_high_score_thresholds_use_unrounded_mean(spark):
 ])
 def test_sql_route_equals_dataframe_route(spark, frames, name, kw, fn):
     r, m, _, _ = frames
-    warehouse_sql.register_views(r, m)
-    a = warehouse_sql.run(spark, name, **kw)
+    with warehouse_sql.views(r, m) as names:
+        a = warehouse_sql.run(spark, name, **names, **kw)
+    assert not [t for t in spark.catalog.listTables() if t.name in names.values()]
     b = fn(r, m)
     assert a.columns == b.columns
     assert a.collect() == b.collect() if name != "movie_stats" else sorted(a.collect()) == sorted(b.collect())

@@ -17,13 +17,19 @@ def test_external_tables_and_sql_route(spark, tmp_dir):
     re_ = register_external(spark, "ratings_ext", rdir, schemas.RATINGS_CLEAN, replace=True)
     me = register_external(spark, "movies_ext", mdir, schemas.MOVIES_CLEAN, replace=True)
     assert re_.count() == r.count() and me.count() == m.count()
-    desc = {row.col_name: row.data_type for row in spark.sql("DESCRIBE TABLE EXTENDED ratings_ext").collect()}
+    desc = {row.col_name: row.data_type for row in spark.sql("DESCRIBE TABLE EXTENDED spark_catalog.default.ratings_ext").collect()}
     assert desc.get("Type") == "EXTERNAL"
     a = warehouse_sql.run(spark, "genre_avg", min_count=50).collect()
     b = stats.genre_avg(r, m, min_count=50).collect()
     assert a == b
-    spark.sql("DROP TABLE ratings_ext")
-    spark.sql("DROP TABLE movies_ext")
+    # a leftover view of the same name cannot stand in for the table
+    r.limit(1).createOrReplaceTempView("ratings_ext")
+    try:
+        assert warehouse_sql.run(spark, "genre_avg", min_count=50).collect() == b
+    finally:
+        spark.catalog.dropTempView("ratings_ext")
+    spark.sql("DROP TABLE spark_catalog.default.ratings_ext")
+    spark.sql("DROP TABLE spark_catalog.default.movies_ext")
     assert files.read_ratings_clean(spark, rdir).count() == r.count()   # files survive DROP
 
 
