@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions import hash_bucket, round_half_up
-from reelstat.operators.similarity import BLOCK_ROWS, cosine_top_k, dot_top_k
+from reelstat.operators.similarity import BLOCK_ROWS, cosine_top_k, pruned_dot_top_k
 from reelstat.session import ensure_checkpoint_dir
+from reelstat.sources import versions
 
 SPLIT_BUCKETS = 10000
 
@@ -117,6 +118,21 @@ def predict(model: ALSModel, test: DataFrame) -> DataFrame:
     return model.transform(to_als_input(test))
 
 
+def predict_from_factors(pairs: DataFrame, user_factors: DataFrame, item_factors: DataFrame) -> DataFrame:
+    """pairs (userId, movieId, ..) with ``prediction``, the dot product of given factors (id, features).
+
+    The joins drop cold rows: pairs of a user or a movie without factors.  All in the JVM;
+    factors travel once per side, and a hot user's or movie's pairs are split by AQE."""
+    def side(factors, name, vec):
+        return factors.select(F.col("id").cast("long").alias(name), F.col("features").cast("array<double>").alias(vec)).where(
+            F.col(vec).isNotNull())
+
+    dot = F.aggregate(F.zip_with("__u", "__i", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    keyed = pairs.withColumn("__user", F.col("userId").cast("long")).withColumn("__item", F.col("movieId").cast("long"))
+    return (keyed.join(side(user_factors, "__user", "__u"), "__user").join(side(item_factors, "__item", "__i"), "__item")
+                 .select(*pairs.columns, dot.alias("prediction")))
+
+
 def evaluate_rmse(predictions: DataFrame) -> DataFrame:
     """One row: rmse (8 decimals), scored.
 
@@ -132,11 +148,16 @@ def als_metrics(model: ALSModel, train: DataFrame, test: DataFrame, sizes: DataF
     """One row: rmse, train_n, test_n (the evaluation chart's series).
 
     ``sizes`` (train, n: ``split_summary``) saves counting the two sides one by one."""
+    return split_metrics(predict(model, test), train, test, sizes)
+
+
+def split_metrics(predictions: DataFrame, train: DataFrame, test: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """``als_metrics`` of predictions that are already there, by a model or from given factors."""
     counts = [train.agg(F.count(F.lit(1)).alias("train_n")), test.agg(F.count(F.lit(1)).alias("test_n"))]
     if sizes is not None:
         side = lambda train: F.coalesce(F.sum(F.when(F.col("train") == train, F.col("n"))), F.lit(0))
         counts = [sizes.agg(side(True).alias("train_n"), side(False).alias("test_n"))]
-    parts = [evaluate_rmse(predict(model, test)).select("rmse"), *counts]
+    parts = [evaluate_rmse(predictions).select("rmse"), *counts]
     cols = ["rmse", "train_n", "test_n"]
     u = None
     for p in parts:
@@ -166,6 +187,24 @@ def save_model(model: ALSModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_factors(user_factors: DataFrame, item_factors: DataFrame, base: str) -> str:
+    """Write both sides (id, features) as a new version under ``base`` and publish it; its folder.
+
+    Readers see the old model or the new one, never half of either, whenever a writer dies."""
+    def write(folder: str) -> None:
+        for name, factors in (("users", user_factors), ("items", item_factors)):
+            factors.select(F.col("id").cast("long").alias("id"), "features").write.parquet(f"{folder}/{name}")
+    return versions.write_version(user_factors.sparkSession, base, write)
+
+
+def load_factors(spark, base: str) -> tuple[DataFrame, DataFrame]:
+    """(user factors, item factors) of the published version."""
+    folder = versions.current(spark, base)
+    if folder is None:
+        raise ValueError(f"no model at {base}")
+    return spark.read.parquet(f"{folder}/users"), spark.read.parquet(f"{folder}/items")
+
+
 def load_model(path: str) -> ALSModel:
     return ALSModel.load(path)
 
@@ -220,16 +259,16 @@ def user_recs(model: ALSModel, movies: DataFrame, k: int = 5, users=None,
     carries the order); movies missing from the catalogue drop out (inner
     join for the title).
     """
-    top = dot_top_k(_subset(model.userFactors, users, "userId"), model.itemFactors, k,
-                    block_rows=block_rows, precise=False)
+    top = pruned_dot_top_k(_subset(model.userFactors, users, "userId"), model.itemFactors, k,
+                           block_rows=block_rows, precise=False)
     out = titled_recs(top, movies)
     return out if users is None else out.orderBy("userId", "rank")
 
 
 def item_users(model: ALSModel, k: int = 5, items=None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """movieId, rank, userId, predictedRating - the k users predicted to rate each movie highest."""
-    top = dot_top_k(_subset(model.itemFactors, items, "movieId"), model.userFactors, k,
-                    block_rows=block_rows, precise=False)
+    top = pruned_dot_top_k(_subset(model.itemFactors, items, "movieId"), model.userFactors, k,
+                           block_rows=block_rows, precise=False)
     out = named_users(top)
     return out if items is None else out.orderBy("movieId", "rank")
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstat.functions import NO_GENRE, has_year, percent, round_half_up
+from reelstat.sources.catalog import partition_values, qualified
 
 
 def _mean(s: str, n: str, scale: int = 2) -> F.Column:
@@ -166,6 +167,15 @@ def year_trend(ratings: DataFrame, movies: DataFrame, n: int = 15) -> DataFrame:
              .orderBy(F.desc("year")).limit(n))
 
 
+def year_trend_of_table(spark, name: str, n: int = 15) -> DataFrame:
+    """``year_trend`` over a table partitioned by ``year`` (``register_partitioned``): which years are
+    the latest is read from the catalog, and only their folders are scanned."""
+    latest = partition_values(spark, name, "year")[-n:]
+    rows = spark.table(qualified(spark, name)).where(F.col("year").isin(latest) if latest else F.lit(False))
+    return (rows.groupBy("year").agg(F.count("rating").alias("cnt"), F.sum("rating").alias("s"))
+                .select("year", "cnt", _mean("s", "cnt").alias("avg_rating")).orderBy(F.desc("year")).limit(n))
+
+
 # ---------------------------------------------------------------- per user
 
 def user_activity(ratings: DataFrame) -> DataFrame:

@@ -94,3 +94,69 @@ def pair_task(k: int, symmetric: bool, normalize: bool, exclude_self: bool, dtyp
                          "score": pa.array(cols[2], pa.float64()),
                          "rank": pa.array(cols[3], pa.int32())})
     return run
+
+
+# ---- random-projection hash tables -----------------------------------------------------------
+
+PLANE_STEPS = 1 << 20
+
+
+def planes(count: int, width: int, seed: int, prime: int, mult: int, keys: tuple) -> np.ndarray:
+    """Projection vectors with components in [-1, 1): the key hash of (plane, dimension),
+    so that every engine derives the same ones."""
+    plane, dim = np.divmod(np.arange(count * width, dtype=np.int64), max(1, width))
+    x = np.full(count * width, seed % prime, np.int64)
+    for part in (plane, dim):
+        x = x ^ part
+        for key in keys:
+            x = (x ^ key) % prime * mult % prime
+    return ((x % PLANE_STEPS) / (PLANE_STEPS / 2) - 1.0).reshape(count, width)
+
+
+def hash_task(tables: int, bits: int, probes: int, seed: int, fixed: tuple):
+    """Vectors -> (id, v, bucket, role): in every table the bucket of a vector (role 2 where it
+    is asked for and searched, 1 where only searched) and, where it is asked for, the buckets
+    whose code differs in one of the ``probes`` least certain bits (role 0)."""
+
+    def run(batches):
+        for batch in batches:
+            ids, ask = batch.column("id"), batch.column("ask").to_numpy(zero_copy_only=False).astype(bool)
+            mat = matrix(batch.column("v"))
+            n = len(mat)
+            if not n:
+                continue
+            cuts = mat @ planes(tables * bits, mat.shape[1], seed, *fixed).T
+            cuts = cuts.reshape(n, tables, bits)
+            code = ((cuts >= 0) << np.arange(bits)).sum(axis=2)
+            base = np.arange(tables, dtype=np.int64) << bits
+            row, bucket = [np.repeat(np.arange(n), tables)], [(base + code).reshape(-1)]
+            role = [np.where(ask, 2, 1).repeat(tables)]
+            asked = np.flatnonzero(ask)
+            unsure = np.argsort(np.abs(cuts[asked]), axis=2, kind="stable")[:, :, :probes]
+            if len(asked) and unsure.shape[2]:
+                other = base[None, :, None] + (code[asked][:, :, None] ^ (1 << unsure))
+                row.append(np.repeat(asked, other[0].size))
+                bucket.append(other.reshape(-1))
+                role.append(np.zeros(other.size, np.int64))
+            row = np.concatenate(row)
+            yield pa.RecordBatch.from_pydict({
+                "id": ids.take(pa.array(row)), "v": batch.column("v").take(pa.array(row)),
+                "bucket": pa.array(np.concatenate(bucket), pa.int64()),
+                "role": pa.array(np.concatenate(role).astype(np.int32), pa.int32())})
+    return run
+
+
+def bucket_task(k: int, normalize: bool, dtype):
+    """The k best searched vectors of a bucket for each vector that asks there."""
+
+    def run(table: pa.Table) -> pa.Table:
+        role, ids = table.column("role").to_numpy(), table.column("id").to_numpy()
+        mat = matrix(table.column("v"), dtype)
+        if normalize:
+            mat = unit(mat)
+        ask, have = role != 1, role != 0
+        parts = list(best(ids[ask], mat[ask], ids[have], mat[have], k))
+        i, j, score = (np.concatenate(c) if parts else np.zeros(0) for c in zip(*(p[:3] for p in parts))) if parts else \
+            (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"i": pa.array(i, pa.int64()), "j": pa.array(j, pa.int64()), "score": pa.array(score, pa.float64())})
+    return run
