@@ -15,14 +15,16 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reelstat.functions import hash_bucket_sql
-from reelstat.operators import clean, recommend, similarity, stats
-from reelstat.plans import warehouse_sql
+from reelstat.functions import hash_bucket_sql, round_half_up
+from reelstat.operators import clean, incremental, lsh, normal_equations, recommend, similarity, stats
+from reelstat.operators.topk_kernel import PLANE_STEPS
+from reelstat.plans import jobs, warehouse_sql
 from reelstat.session import shared_dir
 from reelstat.sources import (
-    materialize, qualified, read_movies, read_movies_clean, read_ratings, read_ratings_clean, register_external,
-    schemas, testdata, write_table,
+    materialize, overwrite_partitions, qualified, quarantine, read_csv, read_movies, read_movies_clean, read_ratings,
+    read_ratings_clean, register_external, register_partitioned, schemas, testdata, write_table,
 )
 
 # Arguments used on the test tables (data-set defaults in brackets).
@@ -34,6 +36,10 @@ STATS_TOP_MIN = 30          # [100]
 TOP_K = 5                   # recommendations / neighbours per entity
 FIRST_USERS = 10            # users of the subset form
 SPLIT_SEED, TRAIN_FRACTION = 42, 0.8
+HALF_STEP_REG = 0.1         # ridge of the half-step over given vectors
+PRUNED_BLOCK_ROWS = 64      # small blocks, so that norms have something to prune here [32768]
+LSH = {"tables": 12, "bits": 6, "probes": 4}    # the vectors here are random directions, the hardest case
+STATS_BUCKETS = 8
 GRID_REG_PARAMS = (0.01, 0.1, 1.0)   # the values compared by hand in the data set's study
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,6 +213,143 @@ def _vector_recs_nested(spark, sf_dir):
     return recommend.explode_recs(recommend.recommendation_arrays(flat, "userId", "movieId"), "userId", "movieId")
 
 
+def _given_predictions(spark, sf_dir):
+    """Test ratings scored with given vectors; pairs without vectors are cold."""
+    _, test = recommend.split_ratings(_r(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    return recommend.predict_from_factors(test.select("userId", "movieId", "rating"), *_sides(spark, sf_dir))
+
+
+def _rounded(predictions):
+    return predictions.withColumn("prediction", round_half_up("prediction", 4))
+
+
+def _given_metrics(spark, sf_dir):
+    train, test = recommend.split_ratings(_r(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    sizes = recommend.split_summary(_r(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    return recommend.split_metrics(_given_predictions(spark, sf_dir), train, test, sizes)
+
+
+def _saved_predictions(spark, sf_dir):
+    """Factors saved, saved again, loaded and applied: the same rows as from the unsaved ones."""
+    users, items = _sides(spark, sf_dir)
+    base = shared_dir(spark, f"models/{uuid.uuid4().hex}")
+    recommend.save_factors(items, users, base)
+    recommend.save_factors(users, items, base)
+    _, test = recommend.split_ratings(_r(spark, sf_dir), TRAIN_FRACTION, SPLIT_SEED)
+    return _rounded(recommend.predict_from_factors(test.select("userId", "movieId", "rating"), *recommend.load_factors(spark, base)))
+
+
+def _shortened(factors: DataFrame, rank: int) -> DataFrame:
+    return factors.select("id", F.slice("features", 1, rank).alias("features"))
+
+
+def _normal_equations(spark, sf_dir):
+    found = normal_equations.normal_equations(_r(spark, sf_dir), _shortened(_sides(spark, sf_dir)[1], 3))
+    return found.select(F.col("id").cast("int").alias("userId"), "n",
+                        *(round_half_up(F.col("gram")[i], 4).alias(f"g{i}") for i in range(6)),
+                        *(round_half_up(F.col("rhs")[i], 4).alias(f"b{i}") for i in range(3)))
+
+
+def _half_step(spark, sf_dir):
+    found = normal_equations.half_step(_r(spark, sf_dir), _shortened(_sides(spark, sf_dir)[1], 2), HALF_STEP_REG, nonnegative=False)
+    return found.select(F.col("id").cast("int").alias("userId"),
+                        *(round_half_up(F.col("features")[i], 4).alias(f"x{i}") for i in range(2)))
+
+
+def _pruned_recs(spark, sf_dir):
+    """Movies' vectors of different lengths, as factors have."""
+    users, items = _sides(spark, sf_dir)
+    scale = (F.lit(1) + F.col("id") % 7).cast("double")
+    items = items.select("id", F.transform("features", lambda x: x * scale).alias("features"))
+    return recommend.titled_recs(similarity.pruned_dot_top_k(users, items, TOP_K, block_rows=PRUNED_BLOCK_ROWS), _m(spark, sf_dir))
+
+
+def _near_vectors(spark, sf_dir):
+    found = lsh.approximate_top_k(testdata.embeddings(spark, sf_dir), TOP_K, **LSH)
+    return found.select("i", "j", round_half_up("score", 4).alias("score"))
+
+
+def _near_recall(spark, sf_dir):
+    vectors = testdata.embeddings(spark, sf_dir)
+    return lsh.recall(lsh.approximate_top_k(vectors, TOP_K, **LSH), similarity.cosine_top_k(vectors, TOP_K))
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The cleaned tables bucketed and sorted by movie; once per source."""
+    r, m = ingest(spark, sf_dir)
+    with _LOCK:
+        paths = _INPUTS[(spark.sparkContext.applicationId, _source(spark, sf_dir))]
+        if "bucketed" not in paths:
+            tag, base = paths["base"].rsplit("/", 1)[-1].replace("-", "_"), paths["base"]
+            names = [qualified(spark, f"{t}_by_movie_{tag}") for t in ("ratings", "movies")]
+            for name, df in zip(names, (r, m)):
+                materialize(df, name, bucket_by=(STATS_BUCKETS, "movieId"), sort_by="movieId", path=f"{base}/{name.rsplit('.', 1)[-1]}")
+            paths["bucketed"] = names
+    return tuple(spark.table(n) for n in paths["bucketed"])
+
+
+def _by_year(spark: SparkSession, sf_dir: str) -> str:
+    """Ratings by their movie's release year as a partitioned external table; its name."""
+    r, m = ingest(spark, sf_dir)
+    with _LOCK:
+        paths = _INPUTS[(spark.sparkContext.applicationId, _source(spark, sf_dir))]
+        if "by_year" not in paths:
+            tag, folder = paths["base"].rsplit("/", 1)[-1].replace("-", "_"), paths["base"] + "/ratings_by_year"
+            dated = r.join(m.select("movieId", "year"), "movieId").select("userId", "movieId", "rating", "date", "year")
+            overwrite_partitions(dated, folder, ["year"])
+            # the partitions of one year written again replace that year alone
+            overwrite_partitions(dated.where("year = '2000'"), folder, ["year"])
+            register_partitioned(spark, f"ratings_by_year_{tag}", folder, dated.schema, ["year"])
+            paths["by_year"] = f"ratings_by_year_{tag}"
+    return paths["by_year"]
+
+
+def _spoiled_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Raw ratings as CSV in which some ratings are words and some users are missing."""
+    raw = testdata.raw_event_ratings(spark, sf_dir)
+    event = testdata.table(spark, sf_dir, "events").select("event_id", "user_id", "value", "ts")
+    folder = shared_dir(spark, f"inputs/spoiled-{uuid.uuid4().hex[:8]}")
+    write_table(event.select(
+        F.when(F.col("event_id") % 17 != 0, F.col("user_id").cast("string")).alias("userId"),
+        (F.col("event_id") % testdata.EVENT_ITEMS).cast("string").alias("movieId"),
+        F.when(F.col("event_id") % 13 == 0, F.lit('four "stars", or so')).otherwise(F.col("value").cast("string")).alias("rating"),
+        F.unix_timestamp("ts").cast("string").alias("timestamp")).select(raw.columns), folder, fmt="csv")
+    return folder
+
+
+def _quarantined(spark, sf_dir):
+    folder = _spoiled_csv(spark, sf_dir)
+    return quarantine.reasons(*quarantine.split_records(
+        spark, folder, schemas.RATINGS_RAW, folder + "-split", quarantine.rating_checks()))
+
+
+def _refreshed_stats(spark, sf_dir):
+    """Two batches of ratings, each merged into the stored partials."""
+    r, m = ingest(spark, sf_dir)
+    base = shared_dir(spark, f"stats/{uuid.uuid4().hex}")
+    for batch in recommend.split_ratings(r, TRAIN_FRACTION, SPLIT_SEED):
+        partials = incremental.refresh(batch, base)
+    return incremental.movie_stats(partials, m)
+
+
+def _distinct(spark, sf_dir):
+    users, movies = (incremental.distinct_ids(_r(spark, sf_dir), c) for c in ("userId", "movieId"))
+    return users.select(F.lit("users").alias("ids"), "n").unionByName(movies.select(F.lit("movies").alias("ids"), "n"))
+
+
+def _job_result(name: str, schema: str) -> Query:
+    """A result of the analysis job (cached inputs, single CSV files), read back."""
+    def q(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, _source(spark, sf_dir))
+        r, m = ingest(spark, sf_dir)
+        with _LOCK:
+            paths = _INPUTS[key]
+            if "results" not in paths:
+                paths["results"] = jobs.analysis_job(spark, r, m, paths["base"] + "/results", min_count=TOP_RATED_MIN)
+        return read_csv(spark, paths["results"][name], schema)
+    return q
+
+
 def _scored_rows(spark, sf_dir):
     model, _, test = _fitted(spark, sf_dir)
     return recommend.predict(model, test).drop("prediction")
@@ -265,6 +408,24 @@ QUERIES: dict[str, Query] = {
     "item_users": lambda s, d: recommend.item_users(_fitted(s, d)[0], TOP_K),
     "similar_items": lambda s, d: recommend.similar_items(_fitted(s, d)[0], _m(s, d), TOP_K),
     "als_grid": _grid,
+    # scoring, least squares and partners over given vectors
+    "vector_predictions": lambda s, d: _rounded(_given_predictions(s, d)),
+    "vector_rmse": lambda s, d: recommend.evaluate_rmse(_given_predictions(s, d)),
+    "vector_metrics": _given_metrics,
+    "model_saved_predictions": _saved_predictions,
+    "als_normal_equations": _normal_equations,
+    "als_half_step": _half_step,
+    "vector_pruned_recs": _pruned_recs,
+    "lsh_neighbours": _near_vectors,
+    "lsh_recall": _near_recall,
+    # stored aggregates
+    "movie_stats_bucketed": lambda s, d: stats.movie_stats(*_bucketed(s, d)),
+    "movie_stats_incremental": _refreshed_stats,
+    "year_trend_partitioned": lambda s, d: stats.year_trend_of_table(s, _by_year(s, d)),
+    "csv_quarantine": _quarantined,
+    "distinct_bitmap": _distinct,
+    "job_popular": _job_result("popular_movies", "movieId INT, title STRING, rating_count BIGINT, avg_rating DOUBLE"),
+    "job_user_activity_stats": _job_result("user_activity_stats", "avg_per_user DOUBLE, max_per_user BIGINT, min_per_user BIGINT"),
 }
 
 # ----------------------------------------------------------------------------- oracle (DuckDB)
@@ -429,6 +590,64 @@ q AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rk
 SELECT i, j, {R('score', 4)} AS score FROM q WHERE rk <= {TOP_K}""",
 }
 
+_GIVEN = """
+, e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT userId, movieId, rating, list_inner_product(u.v, i.v) AS prediction
+      FROM split JOIN e u ON u.id = userId AND u.id % 2 = 0 JOIN e i ON i.id = movieId AND i.id % 2 = 1 WHERE NOT train)"""
+# Normal equations of every user with the first components of the movies' vectors.
+_GRAM = """
+, x AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b, CAST(embedding[3] AS DOUBLE) AS c
+        FROM embeddings WHERE vec_id % 2 = 1),
+g AS (SELECT userId, COUNT(*) AS n, SUM(a * a) AS aa, SUM(a * b) AS ab, SUM(a * c) AS ac, SUM(b * b) AS bb, SUM(b * c) AS bc,
+             SUM(c * c) AS cc, SUM(a * rating) AS ra, SUM(b * rating) AS rb, SUM(c * rating) AS rc
+      FROM ratings JOIN x ON id = movieId GROUP BY userId)"""
+# Buckets by the signs of projections, and probes of the least certain ones.
+_PROBED = f"""
+, e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+g AS (SELECT plane, list(c ORDER BY dim) AS c FROM (
+        SELECT plane, dim, CAST({hash_bucket_sql(["plane", "dim"], lsh.SEED, PLANE_STEPS)} AS DOUBLE) / {PLANE_STEPS // 2} - 1 AS c
+        FROM range({LSH['tables'] * LSH['bits']}) AS p(plane), (SELECT unnest(range(max(len(v)))) AS dim FROM e)) GROUP BY plane),
+m AS (SELECT id, plane // {LSH['bits']} AS t, plane % {LSH['bits']} AS b, list_inner_product(v, c) AS m FROM e, g),
+c AS (SELECT id, t, CAST(SUM(CASE WHEN m >= 0 THEN 1 << b ELSE 0 END) AS BIGINT) AS code FROM m GROUP BY id, t),
+f AS (SELECT id, t, b, row_number() OVER (PARTITION BY id, t ORDER BY abs(m), b) AS r FROM m),
+a AS (SELECT id, t, code FROM c UNION ALL
+      SELECT id, t, xor(code, 1 << b) FROM f JOIN c USING (id, t) WHERE r <= {LSH['probes']}),
+w AS (SELECT DISTINCT a.id AS i, c.id AS j FROM a JOIN c ON a.t = c.t AND a.code = c.code AND a.id <> c.id),
+s AS (SELECT i, j, list_cosine_similarity(x.v, y.v) AS score FROM w JOIN e x ON x.id = i JOIN e y ON y.id = j),
+q AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rk FROM s)"""
+_BODIES |= {
+    "vector_predictions": f"{_GIVEN} SELECT userId, movieId, rating, {R('prediction', 4)} AS prediction FROM p",
+    "vector_rmse": f"{_GIVEN} SELECT {R('SQRT(AVG((rating - prediction) * (rating - prediction)))', 8)} AS rmse, COUNT(*) AS scored FROM p",
+    "vector_metrics": f"""{_GIVEN} SELECT (SELECT {R('SQRT(AVG((rating - prediction) * (rating - prediction)))', 8)} FROM p) AS rmse,
+  COUNT(*) FILTER (WHERE train) AS train_n, COUNT(*) FILTER (WHERE NOT train) AS test_n FROM split""",
+    "als_normal_equations": _GRAM + "SELECT userId, n, " + ", ".join(
+        f"{R(x, 4)} AS {name}" for x, name in zip(("aa", "ab", "ac", "bb", "bc", "cc", "ra", "rb", "rc"),
+                                                  (*(f"g{i}" for i in range(6)), *(f"b{i}" for i in range(3))))) + " FROM g",
+    "als_half_step": f"""{_GRAM}
+, h AS (SELECT userId, aa + {HALF_STEP_REG}::DOUBLE * n AS aa, ab, bb + {HALF_STEP_REG}::DOUBLE * n AS bb, ra, rb FROM g)
+SELECT userId, {R('(bb * ra - ab * rb) / (aa * bb - ab * ab)', 4)} AS x0, {R('(aa * rb - ab * ra) / (aa * bb - ab * ab)', 4)} AS x1 FROM h""",
+    "vector_pruned_recs": _BODIES["vector_user_recs"].replace(
+        "list_inner_product(a.v, b.v)", "list_inner_product(a.v, b.v) * (1 + b.id % 7)"),
+    "lsh_neighbours": f"{_PROBED} SELECT i, j, {R('score', 4)} AS score FROM q WHERE rk <= {TOP_K}",
+    "lsh_recall": f"""{_PROBED}
+, o AS (SELECT i, j FROM (SELECT x.id AS i, y.id AS j, row_number() OVER (
+          PARTITION BY x.id ORDER BY list_cosine_similarity(x.v, y.v) DESC, y.id) AS rk FROM e x JOIN e y ON x.id <> y.id) WHERE rk <= {TOP_K})
+SELECT COUNT(*) AS pairs, COUNT(q.i) AS found, ROUND(COUNT(q.i) / CAST(COUNT(*) AS DOUBLE), 4) AS recall
+FROM o LEFT JOIN q ON q.i = o.i AND q.j = o.j AND q.rk <= {TOP_K}""",
+    "movie_stats_bucketed": _BODIES["movie_stats"],
+    "movie_stats_incremental": _BODIES["movie_stats"],
+    "year_trend_partitioned": _BODIES["year_trend"],
+    "csv_quarantine": """
+SELECT CASE WHEN event_id % 13 = 0 THEN 'malformed' WHEN event_id % 17 = 0 THEN 'no user'
+            WHEN value BETWEEN 0.5 AND 5.0 THEN 'clean' ELSE 'rating out of range' END AS reason, COUNT(*) AS n
+FROM events GROUP BY 1""",
+    "distinct_bitmap": """SELECT 'users' AS ids, COUNT(DISTINCT userId) AS n FROM ratings
+UNION ALL SELECT 'movies', COUNT(DISTINCT movieId) FROM ratings""",
+    "job_popular": _BODIES["popular"],
+    "job_user_activity_stats": _BODIES["user_activity_stats"],
+}
+_BODIES["model_saved_predictions"] = _BODIES["vector_predictions"]
+
 # The SQL route must agree with the same oracle as the DataFrame route.
 for _n in ("rating_distribution_pct", "genre_avg", "year_production", "high_score",
            "active_users", "movie_stats", "movie_stats_top"):

@@ -61,6 +61,34 @@ def register_external(spark: SparkSession, name: str, path: str, schema: StructT
     return spark.table(name)
 
 
+def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write ``df`` into a folder partitioned by ``by``, replacing the partitions that it has rows
+    of and no others (dynamic overwrite).  Rows are gathered by partition first (rebalance), so a
+    task writes few partitions and a partition few files; a hot partition is split by AQE."""
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*by).parquet(absolute(path)))
+
+
+def register_partitioned(spark: SparkSession, name: str, path: str, schema: StructType, by: list[str]) -> DataFrame:
+    """An external Parquet table over a partitioned folder, with its partitions as they are now.
+
+    ``schema`` names all columns, those of ``by`` last.  Filters on them read only the
+    folders they need.  Calling it again takes up partitions that came or went."""
+    name = qualified(spark, name)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet PARTITIONED BY ({', '.join(by)}) "
+              f"LOCATION {_quote(absolute(path))}")
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def partition_values(spark: SparkSession, name: str, column: str) -> list[str]:
+    """The values of a partition column, from the catalog alone (no file is read)."""
+    rows = spark.sql(f"SHOW PARTITIONS {qualified(spark, name)}").collect()
+    parts = (dict(p.split("=", 1) for p in r[0].split("/")) for r in rows)
+    return sorted({p[column] for p in parts if p[column] != "__HIVE_DEFAULT_PARTITION__"})
+
+
 def materialize(df: DataFrame, name: str, mode: str = "ignore", fmt: str = "parquet",
                 bucket_by: tuple[int, str] | None = None, sort_by: str | None = None,
                 path: str | None = None) -> DataFrame:
