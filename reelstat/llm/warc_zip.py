@@ -100,6 +100,9 @@ def zip_members(read_at, size: int) -> dict[str, tuple[int, int, int]]:
     tail_at = max(0, size - 65_557 - 20)            # the end record, its comment, the ZIP64 locator
     tail = read_at(tail_at, size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
+    # a comment may hold the signature: the record's comment ends the file
+    while end >= 0 and tail[end + 20:end + 22] != struct.pack("<H", (len(tail) - end - 22) & 0xFFFF):
+        end = tail.rfind(b"PK\x05\x06", 0, end + 3)
     if end < 0:
         raise ValueError("no end of central directory")
     count, length, offset = struct.unpack_from("<HII", tail, end + 10)
@@ -191,7 +194,9 @@ def _ranges(folder: str, range_bytes: int):
                         raise ValueError(f"{path}: {DATA} is compressed; only stored members can be read by range")
                     data = member_data(read_at, local)
                     if INDEX in members:
-                        _, at, length = members[INDEX]
+                        method, at, length = members[INDEX]
+                        if method != 0:
+                            raise ValueError(f"{path}: {INDEX} is compressed; only stored members can be read by range")
                         lines = read_at(member_data(read_at, at), length).decode().splitlines()
                         places = [(x["offset"], x["length"]) for x in map(json.loads, lines)]
                     else:
@@ -264,8 +269,10 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         {"payload_digest": F.sha1("payload"), "same": F.when(F.octet_length("payload") >= revisit_bytes, F.sha2("payload", 256))})
     groups = rows.where(F.col("same").isNotNull()).groupBy("same").agg(
         F.max("record_id").alias("largest"), F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
-    # written, so that the join has exchanges of its own and splits a hot payload
-    joined = rows.join(stored(groups, "warc-groups"), "same", "left")
+    # written, so that the join has exchanges of its own and splits a hot payload; small pages
+    # have no key and stay out of it
+    joined = rows.where(F.col("same").isNotNull()).join(stored(groups, "warc-groups"), "same", "left").unionByName(
+        rows.where(F.col("same").isNull()).withColumn("largest", F.lit(None).cast("long")))
     revisit = F.col("largest").isNotNull() & ~F.col("largest").eqNullSafe(F.col("record_id"))
     return joined.select("record_id", "url", "payload", "payload_digest",
                          F.when(revisit, "revisit").otherwise("response").alias("record_type"),

@@ -104,6 +104,26 @@ def test_records_round_trip():
         parse_record(b"HTTP/1.1 200 OK\r\n\r\n")
 
 
+def test_comment_that_holds_the_end_signature():
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("a", b"payload")
+        z.comment = b"see PK\x05\x06 and PK\x05\x06" + bytes(30)
+    assert list(zip_members(reader(out.getvalue()), len(out.getvalue()))) == ["a"]
+
+
+def test_compressed_index_is_refused(spark, tmp_path):
+    manifest = write_archives(page_records(spark.createDataFrame([(1, "u", "x" * 50)], "page_id long, url string, html string")), str(tmp_path))
+    path = manifest.first()["path"]
+    with zipfile.ZipFile(path) as old:
+        members = {i.filename: old.read(i) for i in old.infolist()}
+    with zipfile.ZipFile(path, "w") as new:
+        for name, data in members.items():
+            new.writestr(name, data, zipfile.ZIP_DEFLATED if name == INDEX else zipfile.ZIP_STORED)
+    with pytest.raises(Exception, match="is compressed"):
+        read_archives(manifest, str(tmp_path)).collect()
+
+
 def test_not_a_zip():
     with pytest.raises(ValueError):
         zip_members(reader(b"nothing"), 7)
