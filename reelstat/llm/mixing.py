@@ -2,8 +2,8 @@
 
 Every source's documents, in a pseudorandom but fixed order, are one stream of
 words cut into blocks of equal length.  An output shard has a fixed number of slots
-and draws how many of them each source fills: the whole part of the expectation
-plus a multinomial draw for the rest, from a generator seeded by the shard.  A slot's
+and draws how many of them each source fills, a multinomial of the sources' shares from a
+generator seeded by the shard.  A slot's
 number within its source (a prefix sum over the shards) is mapped through the
 source's pseudorandom permutation of block numbers, one permutation per pass over the
 source, and blocks are joined by that index.  Slots that would take a source beyond
@@ -33,6 +33,8 @@ BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
 #: Words of a lane, whose running sum one task computes.
 LANE_WORDS = 1 << 20
+#: Slots that one task makes, about.
+TASK_SLOTS = 1 << 18
 #: More sources than this are refused: their table is broadcast and held on the driver.
 MAX_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -86,22 +88,29 @@ def _draws(quota: np.ndarray, shard_slots: int, seed: int):
     """Shard number -> slots of every source in that shard."""
     total = int(quota.sum())
     share = quota / max(1, total)
+    share = share / max(share.sum(), 1e-300)
 
     def run(frames):
         for frame in frames:
             out = []
             for shard in frame["id"]:
                 n = min(shard_slots, total - int(shard) * shard_slots)
-                counts = np.floor(n * share).astype(np.int64)
-                left, rest = n - int(counts.sum()), n * share - counts
-                if left:
-                    counts += np.random.default_rng([seed, int(shard)]).multinomial(left, rest / rest.sum())
+                counts = np.random.default_rng([seed, int(shard)]).multinomial(n, share)
                 number = np.flatnonzero(counts)
                 out.append(pd.DataFrame({"shard": shard, "number": number, "count": counts[number]}))
             yield pd.concat(out)
     return run
 
 
+def _pass_key(*numbers: int) -> int:
+    """A key for some numbers, the same on every machine."""
+    x = 0
+    for n in numbers:
+        x = ((x ^ n) * 0x9E3779B97F4A7C15 + 0x165667B19E3779F9) & ((1 << 64) - 1)
+        x ^= x >> 29
+    return x >> 4
+
+
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     """A keyed permutation of 0..n-1 (four Feistel rounds, walked until inside)."""
     half = np.uint64(max(1, (max(1, n - 1).bit_length() + 1) // 2))
@@ -140,7 +149,7 @@ def _slots(quota: np.ndarray, drawn: np.ndarray, blocks: np.ndarray, seed: int):
             pairs, which = np.unique(np.stack([number, epoch]), axis=1, return_inverse=True)
             for j, (i, e) in enumerate(pairs.T.tolist()):
                 at = which.reshape(-1) == j
-                block[at] = permuted(own[at] % blocks[i], int(blocks[i]), hash((seed, i, e)) & ((1 << 60) - 1))
+                block[at] = permuted(own[at] % blocks[i], int(blocks[i]), _pass_key(seed, i, e))
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array(np.repeat(t["shard"].to_numpy(), t["count"])), "number": pa.array(number),
                 "block": pa.array(block), "epoch": pa.array(epoch)})
@@ -203,7 +212,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         totals[r[0]] = r[1]
     offset = F.coalesce(F.sum("count").over(Window.partitionBy("number").orderBy("shard").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
-    slots = drawn.withColumn("offset", offset).select("shard", "number", "offset", "count").mapInArrow(
+    # a drawn row becomes as many slots as it counts: dealt by number, not by bytes before that
+    tasks = max(1, -(-int(quota.sum()) // TASK_SLOTS))
+    slots = drawn.withColumn("offset", offset).select("shard", "number", "offset", "count").repartition(tasks, "shard").mapInArrow(
         _slots(quota, totals, np.maximum(blocks, 1), seed), "shard long, number long, block long, epoch long")
     # written, so that the planner knows its size and does not broadcast it
     return Mix(sized, pieces, stored(slots, "mixing-slots"))

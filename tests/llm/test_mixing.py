@@ -2,9 +2,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from reelstat.llm.mixing import _quotas, mix_sources, mixed_documents, permuted, taken_words
+from reelstat.llm.mixing import _draws, _quotas, mix_sources, mixed_documents, permuted, taken_words
 
 
 def brute_targets(sizes, weights=(1, 2, 3), cap=3):
@@ -101,3 +103,29 @@ def test_odd_rows(odd, odd_rows, none):
         ((r[0], r[3], len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))) for r in odd_rows), key=str)
     assert mixed_documents(odd).columns == odd.columns
     assert taken_words(mix_sources(none)).collect() == [] and mixed_documents(none).collect() == []
+
+
+def test_draws_are_multinomial():
+    """Counts of full shards have the variance of independent slots, not of rounded expectations."""
+    quota = np.array([300_000, 100_000, 90_000, 10_000])
+    run = _draws(quota, 500, 42)
+    frame = next(run([pd.DataFrame({"id": range(1000)})]))
+    counts = frame.pivot(index="shard", columns="number", values="count").fillna(0).to_numpy()
+    assert (counts.sum(axis=1) == 500).all()
+    share = quota / quota.sum()
+    assert np.allclose(counts.mean(axis=0), 500 * share, rtol=0.06)
+    assert np.allclose(counts.var(axis=0), 500 * share * (1 - share), rtol=0.2)
+    again = next(run([pd.DataFrame({"id": [999, 3]})]))
+    assert set(again["shard"]) == {3, 999}
+    kept = frame[frame["shard"] == 3][["number", "count"]].to_numpy().tolist()
+    assert again[again["shard"] == 3][["number", "count"]].to_numpy().tolist() == kept
+
+
+def test_slots_are_dealt_to_many_tasks(docs, monkeypatch):
+    from reelstat.llm import mixing
+
+    monkeypatch.setattr(mixing, "TASK_SLOTS", 512)
+    mix = mix_sources(docs, block_words=16, shard_slots=64)
+    n = mix.slots.count()
+    parts = [r[0] for r in mix.slots.groupBy(F.input_file_name()).count().select("count").collect()]
+    assert len(parts) > 5 and max(parts) < n / 3
