@@ -40,7 +40,7 @@ ROWS = 3000
 #: Units in each list that the driver fits on.
 UNITS = 3000
 #: Nystroem landmarks.
-LANDMARKS = 192
+LANDMARKS = 384
 #: Characters between the first and the last of a subsequence; longer units are
 #: covered by overlapping windows.
 SPAN, WINDOW, DECAY = 5, 24, 0.5
@@ -144,11 +144,13 @@ def _vectors(units: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 # ---- training --------------------------------------------------------------------------------
 
-def fit_svm(positive: list[str], negative: list[str], seed: int = 42, cost: float = 10.0) -> Model:
+def fit_svm(positive: list[str], negative: list[str], seed: int = 42, cost: float = 10.0, hard: list[str] = ()) -> Model:
     """Nystroem map on landmarks of both classes, then a linear SVM (squared hinge loss,
-    classes balanced, Newton steps), folded into a table of subsequence weights."""
+    classes balanced, Newton steps), folded into a table of subsequence weights.  ``hard``:
+    negatives, the most confused first, that a third of the landmarks are taken from."""
     rng = np.random.default_rng(seed)
-    marks = [*rng.permutation(positive)[:LANDMARKS // 2], *rng.permutation(negative)[:LANDMARKS - LANDMARKS // 2]]
+    marks = [*rng.permutation(positive)[:LANDMARKS // 3], *hard[:LANDMARKS // 3]]
+    marks += [*rng.permutation(negative)[:LANDMARKS - len(marks)]]
     landmark = _vectors([str(m) for m in marks])
     used = np.unique(np.concatenate([p for p, _ in landmark]))
     z = np.zeros((len(marks), len(used)))
@@ -312,8 +314,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         # a unit joins the insults if it scores above nearly all clean units
         cut = scored.where("n > 0").agg(F.percentile_approx("margin", F.lit(1 - CLEAN_ABOVE), F.lit(100_000))).first()[0]
         positive = sorted({*positive, *top(only_of(scored).where(F.col("margin") > max(0.5, cut)), F.desc("p"), F.desc("margin"))})
-        clean = sorted({*clean, *top(scored.where("n > 0 AND margin > -1"), F.desc("margin"))})
-        model = fit_svm(positive, clean)
+        hard = top(scored.where("n > 0 AND margin > -1"), F.desc("margin"))
+        clean = sorted({*clean, *hard})
+        model = fit_svm(positive, clean, hard=hard)
     held = [(r[MARGIN], r["toxic"]) for r in with_margin(
         texts.where("fold = 0").select("toxic", "text"), model).select("toxic", MARGIN).collect()]
     if held:
