@@ -4,6 +4,10 @@
 returns a DataFrame that is written as Parquet and read again as the next
 stage's documents.  All stages but the last return the columns of documents.
 
+The two dedup stages decide on rows and send back masks of their places (file and row number),
+one bit a row, so texts are filtered where they are read; the tables such a stage wrote
+on its way are deleted before it returns.
+
 Nulls and odd rows: a null text counts as empty everywhere.  Repeated rows (same id,
 same text) leave exact dedup once.  Where a doc_id repeats with different texts, near
 dedup keeps all rows of an id of which one is kept; rows without an id have no near
@@ -15,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import SPACE, id_crc32, stored, table, text_of
+from reelstat.llm.common import PLACE, id_crc32, masks, placed, scratch, stored, table, without
 from reelstat.llm.exact_dedup import exact_dedup
 from reelstat.llm.minhash import near_duplicates
 from reelstat.llm.mixing import mixed_documents
@@ -38,24 +42,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal normalised texts the row with the smallest doc_id stays."""
-    found = stored(exact_dedup(docs).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__hash"), "kept"),
-                   "pipeline-exact")
-    rows = docs.withColumn("__sha", F.sha2(F.regexp_replace(text_of("text"), SPACE, " "), 256))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__hash"))
-    kept = rows.join(found.where("kept").drop("kept"), same, "left_semi")
-    again = found.groupBy("__id", "__hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows")
-    if again.limit(1).count():                  # whole rows that repeat: one of each stays
-        again = stored(again, "pipeline-repeats")
-        kept = kept.join(again, same, "left_anti").unionByName(
-            kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "__sha"]))
-    return kept.select(docs.columns)
+    rows = placed(docs)
+    with scratch(spark) as keep:
+        gone = exact_dedup(rows, carry=PLACE).where(~F.col("kept")).select(*PLACE)
+        marked = keep(stored(masks(gone), "pipeline-exact"))
+    return without(rows, marked)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component of documents with a shingle similarity of 0.8 one stays."""
-    kept = stored(near_duplicates(docs, words=5, percent=80).where("kept").select(
-        F.col("doc_id").alias("__id")).distinct(), "pipeline-near")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(docs.columns)
+    rows = placed(docs)
+    with scratch(spark) as keep:
+        found = near_duplicates(docs, words=5, percent=80).groupBy(F.col("doc_id").alias("__id")).agg(F.max("kept").alias("kept"))
+        gone = rows.select("doc_id", *PLACE).join(found.where(~F.col("kept")), F.col("doc_id") == F.col("__id"), "left_semi")
+        marked = keep(stored(masks(gone.select(*PLACE)), "pipeline-near"))
+    return without(rows, marked)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
