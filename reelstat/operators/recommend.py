@@ -10,13 +10,18 @@ cores at hand.
 
 from __future__ import annotations
 
+import functools
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from reelstat.functions import hash_bucket, round_half_up
 from reelstat.operators.similarity import BLOCK_ROWS, cosine_top_k, pruned_dot_top_k
-from reelstat.session import ensure_checkpoint_dir
+from reelstat.session import ensure_checkpoint_dir, shared_dir
 from reelstat.sources import versions
 
 SPLIT_BUCKETS = 10000
@@ -168,19 +173,25 @@ def split_metrics(predictions: DataFrame, train: DataFrame, test: DataFrame, siz
 
 
 def als_grid(train: DataFrame, test: DataFrame, reg_params=(0.01, 0.1, 1.0), fitted: dict | None = None,
-             **fit_args) -> DataFrame:
-    """reg_param, rmse - one fit per value (each fit is a distributed job).
-
-    The fits run when this is called, the evaluations with the result.  ``fitted``
-    maps values to models that are already there (of the same other arguments)."""
-    rows = []
-    for rp in reg_params:
-        m = (fitted or {}).get(rp) or fit_als(train, reg_param=rp, **fit_args)
-        rows.append(evaluate_rmse(predict(m, test)).select(F.lit(float(rp)).alias("reg_param"), "rmse"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+             parallelism: int = 3, **fit_args) -> DataFrame:
+    """reg_param, rmse - one fit per value, up to ``parallelism`` of them side by side.
+
+    One ALS fit leaves most of a cluster idle (``num_blocks`` tasks in each half-step), so fits are
+    submitted from threads of their own over one written copy of the training side; values and
+    RMSEs are those of fits one by one.  The fits run when this is called, the evaluations with
+    the result.  ``fitted`` maps values to models that are already there (same other arguments)."""
+    spark, models = train.sparkSession, dict(fitted or {})
+    todo = [rp for rp in reg_params if rp not in models]
+    if len(todo) > 1:
+        folder = shared_dir(spark, f"grid/{uuid.uuid4().hex}")
+        to_als_input(train).write.parquet(folder)
+        train = spark.read.parquet(folder)
+    if todo:
+        fit = inheritable_thread_target(lambda rp: fit_als(train, reg_param=rp, **fit_args))
+        with ThreadPoolExecutor(max(1, min(parallelism, len(todo)))) as pool:
+            models |= zip(todo, pool.map(fit, todo))
+    rows = [evaluate_rmse(predict(models[rp], test)).select(F.lit(float(rp)).alias("reg_param"), "rmse") for rp in reg_params]
+    return functools.reduce(DataFrame.unionByName, rows)
 
 
 def save_model(model: ALSModel, path: str) -> None:

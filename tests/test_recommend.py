@@ -170,3 +170,15 @@ def test_subsets_given_as_dataframes(spark, model_and_split):
     items = spark.createDataFrame([(10,), (20,)], "movieId int")
     sim = recommend.similar_items(model, movies, k=3, items=items).collect()
     assert sorted({r.origMovieId for r in sim}) == [10, 20] and len(sim) == 6
+
+
+def test_grid_side_by_side_equals_one_by_one(spark):
+    rows = [(u, i, float((u * 7 + i * 3) % 10) / 2 + 0.5) for u in range(30) for i in range(20) if (u + i) % 3]
+    train, test = recommend.split_ratings(spark.createDataFrame(rows, "userId int, movieId int, rating double"))
+    got = {r["reg_param"]: r["rmse"] for r in recommend.als_grid(train, test, (0.05, 0.5, 2.0), rank=3, max_iter=3).collect()}
+    for rp in (0.05, 0.5, 2.0):
+        model = recommend.fit_als(train, reg_param=rp, rank=3, max_iter=3)
+        assert got[rp] == recommend.evaluate_rmse(recommend.predict(model, test)).first()["rmse"]
+    again = recommend.als_grid(train, test, (0.05, 0.5), {0.05: recommend.fit_als(train, reg_param=0.05, rank=3, max_iter=3)},
+                               rank=3, max_iter=3)
+    assert {r["reg_param"]: r["rmse"] for r in again.collect()} == {rp: got[rp] for rp in (0.05, 0.5)}
