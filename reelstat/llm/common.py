@@ -133,11 +133,11 @@ def id_bit(column: str, bits: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(bits))
 
 
-def id_marks(ids: DataFrame, column: str):
+def id_marks(ids: DataFrame, column: str, bit_of=id_bit):
     """(broadcast bitmap of hashed ids, its bits), to leave most rows of other ids where they are.
     16 bits an id up to MARK_BITS; beyond that more of the others pass."""
     bits = min(MARK_BITS, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
-    bit = id_bit(column, bits) + 1
+    bit = bit_of(column, bits) + 1
     rows = ids.groupBy(F.bitmap_bucket_number(bit).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
     out = bytearray(bits // 8)

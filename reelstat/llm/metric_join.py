@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelstat.llm.common import CHUNK_BYTES, chunked, id_bit, id_marks, is_marked, stored, text_of
+from reelstat.llm.common import CHUNK_BYTES, chunked, discard, id_bit, id_marks, is_marked, stored, text_of
 from reelstat.llm.minhash import components
 
 #: Sizes of a shell grow by this factor at least.
@@ -147,11 +147,21 @@ def _sketched(words: int, percent: int):
     return run
 
 
-def _exploded(batches):
-    for batch in batches:
-        lists = [np.frombuffer(k, np.int64) for k in batch.column("keys").to_pylist()]
-        ids = np.repeat(batch.column("id").to_numpy(), [len(x) for x in lists])
-        yield pa.RecordBatch.from_pydict({"id": ids, "key": np.concatenate([*lists, np.zeros(0, np.int64)])})
+def _exploded(marked=None, bits: int = 0):
+    """(id, keys) -> (id, key), or only the keys whose bit is set in the broadcast bitmap."""
+
+    def run(batches):
+        for batch in batches:
+            lists = [np.frombuffer(k, np.int64) for k in batch.column("keys").to_pylist()]
+            ids = np.repeat(batch.column("id").to_numpy(), [len(x) for x in lists])
+            out = pa.RecordBatch.from_pydict({"id": ids, "key": np.concatenate([*lists, np.zeros(0, np.int64)])})
+            yield out if marked is None else out.filter(is_marked(marked, pa.array(out.column("key").to_numpy() & (bits - 1))))
+    return run
+
+
+def _key_bit(column: str, bits: int):
+    """Keys are hashes: their low bits."""
+    return F.col(column).bitwiseAND(F.lit(bits - 1))
 
 
 # ---- full sets -------------------------------------------------------------------------------
@@ -303,7 +313,8 @@ def _region_links(members: DataFrame, percent: int, most: int, load: int, levels
         inside = members.join(large, "cell")
         ranked = inside.select("cell", "id", "n", "shingles", "blocks", "pivots", F.row_number().over(
             Window.partitionBy("cell").orderBy(F.xxhash64("id", F.lit(level)), "id")).alias("rank")).where(F.col("rank") <= PIVOTS)
-        pivots = ranked.where("rank <= pivots").dropDuplicates(["cell", "id"]).select(
+        chosen = stored(ranked.where("rank <= pivots").dropDuplicates(["cell", "id"]).drop("pivots", "rank"), "metric-pivots")
+        pivots = chosen.select(
             "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("slice"), "id", "n", "shingles")
         sliced = inside.withColumn("slice", F.pmod(F.xxhash64("id", F.lit(-1 - level)), F.col("blocks"))).select(
             "cell", "slice", "id", "mask", "size", "n", "shingles")
@@ -333,13 +344,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min(F.struct("doc_id", "keys", "n_shingles")).alias("of")).select(
         F.monotonically_increasing_id().alias("id"), "same", F.col("of.doc_id").alias("first"), F.col("of.keys").alias("keys"),
         F.col("of.n_shingles").alias("n")), "metric-classes")
-    # sets that share a part; the table of shared keys is written, so a hot key is split
-    keys = classes.select("id", "keys").mapInArrow(_exploded, "id long, key long")
-    shared = stored(keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").select(
-        "key", "a"), "metric-keys")
-    edges = stored(keys.join(shared, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "metric-edges")
+    whole, sketched = sketched, stored(sketched.drop("keys"), "metric-documents")
+    discard(whole)
+    # sets that share a part; the second time only keys that (a bitmap says) are shared travel, and
+    # their table is written, so a hot key is split
+    shared = stored(classes.select("id", "keys").mapInArrow(_exploded(), "id long, key long").groupBy("key").agg(
+        F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").select("key", "a"), "metric-keys")
+    again = classes.select("id", "keys").mapInArrow(_exploded(*id_marks(shared, "key", _key_bit)), "id long, key long")
+    edges = stored(again.join(shared, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "metric-edges")
+    whole, classes = classes, stored(classes.drop("keys"), "metric-numbered")
+    discard(whole, shared)
     groups = components(edges)
-    wanted = stored(groups.join(classes.drop("keys"), "id"), "metric-wanted")
+    wanted = stored(groups.join(classes, "id"), "metric-wanted")
     sets = _full_sets(rows, wanted, words)
     start = stored(wanted.join(sets, "id").select(
         F.col("component").alias("cell"), "id", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("before"),
