@@ -2,10 +2,11 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
-from reelstat.llm.common import stored, table
+from reelstat.llm.common import PLACE, masks, placed, scratch, stored, table, without
 from reelstat.llm.exact_dedup import exact_dedup
 from reelstat.llm.minhash import near_duplicates
 from reelstat.llm.queries import ORACLE_SQL, QUERIES
@@ -70,3 +71,46 @@ def plain(text):
     import re
 
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+@pytest.mark.parametrize("case", ["odd", "empty", "no labels"])
+def test_pipeline_chain_on_odd_tables(spark, odd, none, tmp_path, case):
+    """All stages in a row, as ``run`` chains them."""
+    docs = none if case == "empty" else odd
+    sf = str(tmp_path)
+    labels = table(spark, SF, "labels")
+    (labels.limit(0) if case == "no labels" else labels).write.parquet(f"{sf}/labels.parquet")
+    docs.write.parquet(f"{sf}/documents.parquet")
+    docs, seen = table(spark, sf, "documents"), []
+    for name, stage in P.STAGES:
+        docs = stored(stage(spark, docs, sf), "test-chain")
+        seen.append(docs.count())
+    assert (seen == [0] * 5) if case == "empty" else (seen[0] >= seen[1] >= seen[2] > 40 and seen[4] >= seen[3] > 40)
+
+
+def test_dedup_stages_move_no_texts(spark):
+    """The verdicts come back as masks: the plan that filters texts shuffles none of them."""
+    docs = table(spark, SF, "documents")
+    for stage in (P.drop_exact_copies, P.drop_near_copies):
+        plan = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_masks_mark_rows_exactly(spark, tmp_path):
+    spark.range(0, 30_000, 1, 3).selectExpr("id", "concat('t', id) AS text").write.parquet(f"{tmp_path}/t")
+    rows = placed(spark.read.parquet(f"{tmp_path}/t"))
+    gone = [0, 63, 64, 4095, 4096, 9_999, 10_000, 29_999, *range(17_000, 17_300)]
+    marked = stored(masks(rows.where(F.col("id").isin(gone)).select(*PLACE)), "test-masks")
+    left = without(rows, marked)
+    assert left.columns == ["id", "text"] and {r["id"] for r in left.collect()} == set(range(30_000)) - set(gone)
+    none = stored(masks(rows.limit(0).select(*PLACE)), "test-masks")
+    assert without(rows, none).count() == 30_000
+
+
+def test_scratch_deletes_what_is_not_kept(spark):
+    with scratch(spark) as keep:
+        one, two = keep(stored(spark.range(3), "test")), stored(spark.range(4), "test")
+        assert two.count() == 4
+    assert one.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(two._stored_at)
