@@ -4,8 +4,8 @@ Several operators use one pattern, here called *ask and answer*: a task packs
 its documents into a bounded **chunk**, sends the chunk's *distinct* items
 (words, n-grams, blocks) to hash buckets, a bucket merges the requests of all
 chunks and sends one packed answer back to each chunk.  An item that fills a
-third of all rows leaves a chunk once, so no bucket is hot, and a bucket's size
-is fixed by choosing the number of buckets from the number of items.
+third of all rows leaves a chunk once, so its bucket gets one copy per chunk, and a
+bucket's mean size is fixed by choosing the number of buckets from the number of items.
 """
 
 from __future__ import annotations

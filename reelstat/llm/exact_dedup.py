@@ -8,7 +8,7 @@ ceil(log2 n) levels.  Names compare whole contents, not hashes, so the identity
 (byte length, name) is free of collisions.
 
 Naming runs as ask and answer (see ``common``): a block that occurs in a third of
-all documents leaves each chunk once.  Every level is a written table, so a lost
+all documents leaves each chunk once, so its bucket gets one copy of it per chunk.  Every level is a written table, so a lost
 executor costs one task and the plan never grows.
 """
 
