@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
@@ -35,6 +36,8 @@ CHUNK_BYTES = 8 << 20
 MARK_BITS = 1 << 28
 #: Masks of 4096 rows each (about 600 bytes) that are broadcast; more are joined by a shuffle.
 MASK_BLOCKS = 1 << 16
+#: Rows of an Arrow batch while a pipeline stage runs.
+ARROW_ROWS = 2000
 #: A row's place in a table read from Parquet: a hash of its file's path, and its number there.
 PLACE = ("__file", "__row")
 
@@ -76,9 +79,13 @@ def discard(*tables: DataFrame) -> None:
 @contextlib.contextmanager
 def scratch(spark: SparkSession):
     """Delete the tables that are ``stored`` inside, on exit, but those given to the yielded
-    function.  Nothing lazy that reads the others may leave the block."""
+    function.  Nothing lazy that reads the others may leave the block.  Inside, Arrow batches
+    have at most ARROW_ROWS rows: with whole texts the default of 10,000 is tens of MB a task."""
     paths: list[str] = []
     keep = set()
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(ARROW_ROWS))
 
     def kept(table: DataFrame) -> DataFrame:
         keep.add(table._stored_at)
@@ -89,6 +96,7 @@ def scratch(spark: SparkSession):
         yield kept
     finally:
         _SCRATCH.reset(token)
+        spark.conf.set(setting, before)
         _delete(spark, [p for p in paths if p not in keep])
 
 
@@ -162,6 +170,13 @@ def id_crc32(column: str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers share the executor's, and idle ones keep theirs."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):          # not on every C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunked(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text") -> Iterator[tuple[int, pa.Table]]:
     """Tables with about ``limit`` bytes of ``column`` (one row at least) and an id unique
     in the job: the task's partition number and a running number, the same when a task
@@ -178,9 +193,11 @@ def chunked(batches: Iterator[pa.RecordBatch], limit: int, column: str = "text")
             if size >= limit:
                 yield first + n, pa.Table.from_batches(held).combine_chunks()
                 held, size, n = [], 0, n + 1
-                pa.default_memory_pool().release_unused()       # workers share the executor's memory
+                give_back()
     if held:
         yield first + n, pa.Table.from_batches(held).combine_chunks()
+    held = batch = None
+    give_back()
 
 
 def pack(values: np.ndarray) -> bytes:
