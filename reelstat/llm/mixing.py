@@ -33,6 +33,8 @@ BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
 #: Words of a lane, whose running sum one task computes.
 LANE_WORDS = 1 << 20
+#: Documents whose words are cut at a time.
+CUT_ROWS = 256
 #: Slots that one task makes, about.
 TASK_SLOTS = 1 << 18
 #: More sources than this are refused: their table is broadcast and held on the driver.
@@ -245,7 +247,8 @@ def mixed_documents(docs: DataFrame, text_col: str = "text", **options) -> DataF
         import re
 
         word = re.compile(WORD)
-        for batch in batches:
+        # a slice at a time bounds the Python strings that a task holds beside its batch
+        for batch in (b.slice(at, CUT_ROWS) for b in batches for at in range(0, b.num_rows, CUT_ROWS)):
             texts = []
             for text, parts in zip(batch.column(place).to_pylist(), batch.column("__parts").to_pylist()):
                 at = [m.span() for m in word.finditer(text)]
