@@ -108,3 +108,32 @@ def test_empty_inputs(spark):
     assert cosine_top_k(empty, k=3).count() == 0
     assert dot_top_k(empty, some, k=3).count() == 0
     assert dot_top_k(some, empty, k=3).count() == 0
+
+
+def test_kernel_holds_tiles_of_scores_not_rows_of_them():
+    """A block's scores are 64 x 200,000 here (102 MB as doubles); the vectors take 6 MB."""
+    import tracemalloc
+
+    from reelstat.operators import topk_kernel as K
+    rng = np.random.default_rng(2)
+    lmat, rmat = rng.normal(size=(64, 4)), rng.normal(size=(200_000, 4))
+    tracemalloc.start()
+    got = [np.concatenate(x) for x in zip(*K.best(np.arange(64), lmat, np.arange(200_000), rmat, 5, exclude_self=False))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.argsort(-(lmat @ rmat.T), axis=1, kind="stable")[:, :5]
+    assert (got[1].reshape(64, 5) == want).all() and peak < 50e6
+
+
+def test_kernel_float32_tiles_give_float64_ranks():
+    """Partners that differ in the 9th digit alone are one score in float32; large and tiny vectors, and bounds from outside."""
+    from reelstat.operators import topk_kernel as K
+    rng = np.random.default_rng(4)
+    rmat = 1 + 1e-9 * rng.permutation(4000)[:, None] * np.array([[1.0, 0.0]])
+    for scale in (1.0, 1e-20, 1e20):
+        want = np.argsort(-rmat[:, 0], kind="stable")[:4]
+        for least in (None, np.array([rmat[want[3]].sum() * scale])):
+            got = list(K.best(np.array([9_999]), np.ones((1, 2)), np.arange(4000), rmat * scale, 4, False, least))[0]
+            assert got[1].tolist() == want.tolist() and got[3].tolist() == [1, 2, 3, 4]
+    none = list(K.best(np.array([7]), np.ones((1, 2)), np.arange(4000), rmat, 4, False, np.array([9.0])))[0]
+    assert len(none[0]) == 0

@@ -69,6 +69,22 @@ def test_partitions_follow_the_pairs():
     assert similarity._parts(10 ** 7, 10 ** 16, 96) == similarity.MAX_PARTS
 
 
+def test_fine_norm_blocks_do_not_multiply_what_travels(spark, factors, monkeypatch):
+    """Blocks of one row would send every user to each movie in reach."""
+    users, items = factors
+    seen, cut = [], similarity.norm_blocks
+    monkeypatch.setattr(similarity, "norm_blocks", lambda v, rows: seen.append(cut(v, rows)) or seen[-1])
+    u, i = frame(spark, range(len(users)), users), frame(spark, range(len(items)), items)
+    assert ranked(similarity.pruned_dot_top_k(u, i, 5, block_rows=1)) == brute(users, items, 5)
+    assert len(seen[0][1]) <= 2 * similarity.NORM_BLOCKS
+
+
+def test_large_sets_travel_in_few_blocks():
+    """1.2 million vectors of 20 numbers against themselves: 14 blocks, not 37."""
+    rows = min(similarity.BLOCK_ROWS, similarity.BLOCK_BYTES // (8 * 20))
+    assert similarity._n_blocks(1_200_000, rows, 14) == 14
+
+
 # ---- random-projection tables ------------------------------------------------------------------
 
 def test_projections_are_the_key_hash(spark):
@@ -121,3 +137,14 @@ def test_odd_vectors(spark):
     got = {(r["i"], r["j"]): r["score"] for r in lsh.approximate_top_k(v, 3, bits=2).collect()}
     assert got[1, 5] == 1.0 and got[3, 4] == 0.0 and not any(2 in p for p in got)
     assert lsh.approximate_top_k(v.limit(0), 3).count() == 0
+
+
+def test_hashed_vectors_leave_in_bounded_batches():
+    """2000 vectors of 64 numbers leave 60 times each: 61 MB at once before."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    mat = rng.normal(size=(2000, 64))
+    batch = pa.RecordBatch.from_pydict({"id": np.arange(2000), "ask": np.ones(2000, bool), "v": pa.array(mat.tolist())})
+    task = topk_kernel.hash_task(12, 6, 4, 42, (HASH_PRIME, HASH_MULT, HASH_KEYS))
+    out = list(task([batch, batch.slice(0, 0)]))
+    assert sum(b.num_rows for b in out) == 2000 * 60 and max(b.nbytes for b in out) < 12e6
