@@ -182,3 +182,14 @@ def test_grid_side_by_side_equals_one_by_one(spark):
     again = recommend.als_grid(train, test, (0.05, 0.5), {0.05: recommend.fit_als(train, reg_param=0.05, rank=3, max_iter=3)},
                                rank=3, max_iter=3)
     assert {r["reg_param"]: r["rmse"] for r in again.collect()} == {rp: got[rp] for rp in (0.05, 0.5)}
+
+
+def test_scored_rows_move_no_factors(model_and_split):
+    """Predictions are those of Spark ML's transform; where they are not asked for, joins carry ids alone."""
+    model, _, test = model_and_split
+    got = recommend.predict(model, test)
+    ml = model.transform(recommend.to_als_input(test))
+    assert got.columns == ml.columns and got.count() > 0
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ml.collect()))
+    plan = got.drop("prediction")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") >= 2 and "__u" not in plan and "__i" not in plan
