@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from reelstat.functions.expressions import HASH_KEYS, HASH_MULT, HASH_PRIME
 from reelstat.operators import topk_kernel
-from reelstat.operators.similarity import BLOCK_BYTES, BLOCK_ROWS, _extent, _vectors
+from reelstat.operators.similarity import BLOCK_BYTES, _extent, _vectors
 
 SEED = 42
 #: Vectors of a bucket aimed at where the number of bits is left open.
 BUCKET_ROWS = 2048
+#: Asking or searched vectors of a bucket in one task; more are cut into block pairs.
+BLOCK_ROWS = 16384
 
 
 def approximate_top_k(vectors: DataFrame, k: int = 5, queries: DataFrame | None = None, *, tables: int = 12,
