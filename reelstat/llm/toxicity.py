@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelstat.llm.common import CHUNK_BYTES, chunked, stored, text_of
+from reelstat.llm.common import chunked, give_back, stored, text_of
 
 #: Labelled rows of either class that the classifier is fitted on.
 ROWS = 3000
@@ -51,6 +51,8 @@ CLEAN_ABOVE = 0.0005
 #: Characters fold into so many symbols; the table has SYMBOLS ** 3 weights.
 SYMBOLS = 97
 MARGIN = "__margin"
+#: Bytes of text that a task scores at once (its lists of words take some ten times that), and units.
+SCORE_BYTES, SCORE_UNITS = 2 << 20, 10_000
 SENTENCE = re.compile(r"[.!?\n]+")
 EDGES = ".,;:!?\"'()[]{}|*%#&$-_<>/\\~`^+="
 GAPS = [(near, far, DECAY ** (far - 2)) for far in range(2, SPAN + 1) for near in range(1, far)]
@@ -118,13 +120,13 @@ def _subsequences(symbols: np.ndarray):
 
 def margins(units: list[str], model: Model) -> np.ndarray:
     out = np.full(len(units), -np.inf)
-    for at in range(0, len(units), 50_000):
-        symbols, owner = _matrix(units[at:at + 50_000])
+    for at in range(0, len(units), SCORE_UNITS):
+        symbols, owner = _matrix(units[at:at + SCORE_UNITS])
         total, norm = np.zeros(len(symbols), np.float32), np.zeros(len(symbols), np.float32)
         for places, valid, weight in _subsequences(symbols):
             total += weight * (model.table[places] * valid).sum(axis=1)
             norm += weight * weight * valid.sum(axis=1)
-        np.maximum.at(out[at:at + 50_000], owner, total / np.sqrt(np.maximum(norm, 1e-9)) + model.bias)
+        np.maximum.at(out[at:at + SCORE_UNITS], owner, total / np.sqrt(np.maximum(norm, 1e-9)) + model.bias)
     return out
 
 
@@ -220,6 +222,8 @@ def _sentence_units(batches):
                              np.uint64, len(words)).view(np.int64)
         yield pa.RecordBatch.from_pydict({
             "context": number, "unit": units.cast(pa.string()), "toxic": np.array(toxic, np.int32)[owner]})
+    batch = units = words = sentences = near = None
+    give_back()
 
 
 def _unit_margins(model):
@@ -227,6 +231,7 @@ def _unit_margins(model):
         for batch in batches:
             got = margins(batch.column("unit").to_pylist(), model.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], names=[*batch.schema.names, "margin"])
+        give_back()
     return run
 
 
@@ -241,7 +246,7 @@ def _document_margins(texts: pa.Array, model: Model) -> np.ndarray:
 
 def _append_margins(model, column: str):
     def run(batches):
-        for _, t in chunked(batches, CHUNK_BYTES, column):
+        for _, t in chunked(batches, SCORE_BYTES, column):
             texts = pc.fill_null(t.column(column).combine_chunks(), "")
             yield from t.append_column(MARGIN, pa.array(_document_margins(texts, model.value))).to_batches()
     return run

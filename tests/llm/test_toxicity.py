@@ -96,3 +96,18 @@ def test_without_both_classes(spark, none, odd):
         model = train(odd, given.where("doc_id IS NOT NULL"), usable=F.lit(True))
         assert all(r["predicted"] == 0 for r in toxicity_scores(odd, model, ["doc_id"]).collect())
     assert toxicity_scores(none, model, ["doc_id"]).collect() == []
+
+
+def test_scoring_holds_few_units_at_once():
+    """60,000 units of one text: their subsequences took tens of MB at a time."""
+    import tracemalloc
+
+    from reelstat.llm.toxicity import SYMBOLS, Model
+    rng = np.random.default_rng(0)
+    model = Model(table=rng.normal(size=SYMBOLS ** 3).astype(np.float32))
+    units = ["".join(chr(97 + c) for c in word) for word in rng.integers(0, 26, (60_000, 20))]
+    tracemalloc.start()
+    got = margins(units, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 60_000 and np.isfinite(got).all() and peak < 16e6
