@@ -193,3 +193,14 @@ def test_scored_rows_move_no_factors(model_and_split):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ml.collect()))
     plan = got.drop("prediction")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") >= 2 and "__u" not in plan and "__i" not in plan
+
+
+def test_fits_leave_executor_memory_to_their_tasks(spark, planted, monkeypatch):
+    """Rating blocks and factors of fits side by side wait on disk; in memory they took the tasks' room."""
+    train, test = recommend.split_ratings(planted)
+    fit, used = recommend.ALS.fit, []
+    monkeypatch.setattr(recommend.ALS, "fit", lambda als, data: used.append(als) or fit(als, data))
+    assert recommend.als_grid(train, test, reg_params=(0.05, 1.0), rank=3, max_iter=2).count() == 2
+    assert [(a.getIntermediateStorageLevel(), a.getFinalStorageLevel()) for a in used] == [("DISK_ONLY", "DISK_ONLY")] * 2
+    held = [x for x in spark.sparkContext._jsc.sc().getRDDStorageInfo() if x.name() in ("userFactors", "itemFactors")]
+    assert held and all(x.memSize() == 0 and x.diskSize() > 0 for x in held)
