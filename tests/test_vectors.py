@@ -62,6 +62,19 @@ def test_pruned_ties_zero_vectors_and_equal_norms(spark):
     assert ranked(similarity.pruned_dot_top_k(frame(spark, [0], users[:1]), few, 9, block_rows=2)) == brute(users[:1], mat[:3], 9)
 
 
+def test_a_block_is_not_dealt_to_its_pairs_by_one_task(spark, factors):
+    """The list of block pairs travels to the vectors, also where it would not be broadcast of itself:
+    a join by block leaves a block's vectors, once for each left block, to one task."""
+    users, items = factors
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = similarity.pruned_dot_top_k(frame(spark, range(len(users)), users), frame(spark, range(len(items)), items), 5, block_rows=50)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin [pb" in plan and ranked(found) == brute(users, items, 5)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_partitions_follow_the_pairs():
     assert similarity._parts(10, 10 ** 6, 96) == 10
     assert similarity._parts(10 ** 6, 10 ** 6, 96) == 96
